@@ -7,11 +7,20 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lawweave.llm import boilerplate, bpe, mojibake, repeated_lines, residue, unify
+from lawweave.llm import boilerplate, bpe, mojibake, repeated_lines, residue, scan_noise, unify
 from lawweave.llm.common import clauses
 from lawweave.session import table
 
 
+def p1_found(spark: SparkSession, d: str) -> DataFrame:
+    return scan_noise.find_traces(clauses(spark, d, "clause_id", "text", "title", "publisher"), "clause_id", "text", "title", "publisher")
+
+
+def p1_repaired(spark: SparkSession, d: str) -> DataFrame:
+    """Every clause's text as continuous paragraphs, without what belongs to the paper page."""
+    return scan_noise.repair(clauses(spark, d, "clause_id", "text", "title", "publisher"), "clause_id", "text", "title", "publisher")
+
+
 def p2_found(spark: SparkSession, d: str) -> DataFrame:
     c = clauses(spark, d, "clause_id", "text")
     return mojibake.restore_encoding(c, "clause_id", "text", only_found=True).distinct()
@@ -74,7 +83,7 @@ def p7_round_trip(spark: SparkSession, d: str) -> DataFrame:
     return bpe.round_trip(table(spark, d, "documents", "doc_id", "text"), "doc_id", "text")
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (p2_found, p2_restored, p3_found, p3_cleaned, p4_found, p4_main_text, p5_found, p5_unified, p6_found, p6_kept, p7_ids, p7_round_trip)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (p1_found, p1_repaired, p2_found, p2_restored, p3_found, p3_cleaned, p4_found, p4_main_text, p5_found, p5_unified, p6_found, p6_kept, p7_ids, p7_round_trip)}
 
 _LINES = """
 with known as (select doc_id, min(source_id) as s from resolved_gaps where doc_id is not null group by doc_id),
