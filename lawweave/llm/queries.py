@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lawweave.llm import boilerplate, bpe, mojibake, repeated_lines, residue, scan_noise, unify
+from lawweave.llm import boilerplate, bpe, mojibake, packing, repeated_lines, residue, scan_noise, splitting, unify
 from lawweave.llm.common import clauses
 from lawweave.session import table
 
@@ -83,7 +83,22 @@ def p7_round_trip(spark: SparkSession, d: str) -> DataFrame:
     return bpe.round_trip(table(spark, d, "documents", "doc_id", "text"), "doc_id", "text")
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (p1_found, p1_repaired, p2_found, p2_restored, p3_found, p3_cleaned, p4_found, p4_main_text, p5_found, p5_unified, p6_found, p6_kept, p7_ids, p7_round_trip)}
+def p8_containers(spark: SparkSession, d: str) -> DataFrame:
+    """Every document's (or part's) container, for each container limit."""
+    return packing.pack_documents(table(spark, d, "documents", "doc_id", "text"), "doc_id", "text", table(spark, d, "size_limits"))
+
+
+def p8_usage(spark: SparkSession, d: str) -> DataFrame:
+    """Containers, tokens and filled share per container limit."""
+    return packing.usage(p8_containers(spark, d), table(spark, d, "size_limits"))
+
+
+def p9_pieces(spark: SparkSession, d: str) -> DataFrame:
+    """Every piece of every oversized document, for each piece limit."""
+    return splitting.split_documents(table(spark, d, "documents", "doc_id", "text"), "doc_id", "text", table(spark, d, "size_limits"))
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (p1_found, p1_repaired, p2_found, p2_restored, p3_found, p3_cleaned, p4_found, p4_main_text, p5_found, p5_unified, p6_found, p6_kept, p7_ids, p7_round_trip, p8_containers, p8_usage, p9_pieces)}
 
 _LINES = """
 with known as (select doc_id, min(source_id) as s from resolved_gaps where doc_id is not null group by doc_id),
