@@ -171,7 +171,7 @@ def _overlap_start(v: BytePairs | None, count, text: str, start: int, overlap: i
             mid = (lo + hi) // 2
             lo, hi = (mid, hi) if count(text[mid:start]) >= overlap else (lo, mid)
         return lo
-    for reach in (2 * overlap + 16, 9 * overlap + 64, start):
+    for reach in (overlap + 16, 9 * overlap + 64, start):
         before = text[max(0, start - reach) : start]
         ids = v.encode(before)
         if len(ids) > overlap + 8:  # tokens near the window's own beginning may differ from those of the text
@@ -222,14 +222,16 @@ def split_all(text: str, tokenizer: str, todo: list[tuple[int, int]], folder: st
 
 def _checked(v: BytePairs | None, count, text: str, core: int, end: int, size: int, capacity: int, overlap: int, later: bool) -> list[tuple[int, int, int, int]]:
     start = _overlap_start(v, count, text, core, overlap) if overlap and later else core
-    if v is None or start < core:
-        size = count(text[start:end])
-    if size <= capacity or end - core <= 1:
-        return [(start, core, end, size)]
+    if v is None:
+        whole = count(text[start:end])
+    else:  # the core begins where the tokenizer's own split does, so the two parts' sizes add up
+        whole = size + (count(text[start:core]) if start < core else 0)
+    if whole <= capacity or end - core <= 1:
+        return [(start, core, end, whole)]
     middle = (core + end) // 2
     cut = max(range(core + 1, end), key=lambda i: (strength(text, i), -abs(i - middle)))
-    left = _checked(v, count, text, core, cut, size, capacity, overlap, later)
-    return left + _checked(v, count, text, cut, end, size if v is None else count(text[cut:end]), capacity, overlap, True)
+    left = _checked(v, count, text, core, cut, count(text[core:cut]), capacity, overlap, later)
+    return left + _checked(v, count, text, cut, end, count(text[cut:end]), capacity, overlap, True)
 
 
 def split_documents(docs: DataFrame, id: str, text: str, size_limits: DataFrame, folder: str | None = None) -> DataFrame:

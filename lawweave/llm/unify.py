@@ -69,7 +69,7 @@ def _whole(s: str) -> str:
 def _fast() -> tuple[re.Pattern, re.Pattern, dict[str, str]]:
     """For text whose signs do not combine, normalisation works sign by sign: which signs change, and into what."""
     change = {c: w for o in range(0xFFFE) if not 0xD800 <= o < 0xE000 and (w := _whole(c := chr(o))) != c}
-    joins = char_class(lambda c: c > "\uffff" or unicodedata.combining(c) > 0 or unicodedata.category(c)[0] == "M" or "\u1100" <= c <= "\u11ff" or "\ud7b0" <= c <= "\ud7ff")
+    joins = char_class(lambda c: c > "\uffff" or unicodedata.combining(unicodedata.normalize("NFKC", c)[0]) > 0 or unicodedata.category(c)[0] == "M" or "\u1100" <= c <= "\u11ff" or "\ud7b0" <= c <= "\ud7ff" or "\uffa0" <= c <= "\uffdc")
     return re.compile(f"[{joins}]"), re.compile("[" + "".join(map(re.escape, change)) + "]"), change
 
 
