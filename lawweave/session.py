@@ -5,7 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Settings a session of our own gets; a session that is handed in keeps its own.
@@ -28,7 +28,7 @@ def session(master: str | None = None, shuffle_partitions: int | None = None, **
     return b.getOrCreate()
 
 
-def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
+def table(spark: SparkSession, sf_dir: str, name: str, *columns: str | Column) -> DataFrame:
     """One of the Parquet tables; only the named columns, so that the scan is pruned."""
     df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
     return df.select(*columns) if columns else df
