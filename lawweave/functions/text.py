@@ -31,7 +31,7 @@ def clean_text(c: Column) -> Column:
 
 
 # The named entities that occur in the sources' pages.
-ENTITIES = {"&nbsp;": " ", "&lt;": "<", "&gt;": ">", "&quot;": '"', "&#39;": "'", "&apos;": "'", "&ldquo;": "“", "&rdquo;": "”", "&mdash;": "—", "&middot;": "·", "&amp;": "&"}
+ENTITIES = {"&nbsp;": "\u00a0", "&lt;": "<", "&gt;": ">", "&quot;": '"', "&#39;": "'", "&apos;": "'", "&ldquo;": "“", "&rdquo;": "”", "&mdash;": "—", "&middot;": "·", "&amp;": "&"}
 
 
 def unescape(c: Column) -> Column:

@@ -21,7 +21,7 @@ def clean(x: str) -> str:
 
 
 def space(x: str) -> str:
-    for a, b in (("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "''"), ("&apos;", "''"), ("&ldquo;", "“"), ("&rdquo;", "”"), ("&mdash;", "—"), ("&middot;", "·"), ("&amp;", "&")):
+    for a, b in (("&nbsp;", "\u00a0"), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "''"), ("&apos;", "''"), ("&ldquo;", "“"), ("&rdquo;", "”"), ("&mdash;", "—"), ("&middot;", "·"), ("&amp;", "&")):
         x = f"replace({x}, '{a}', '{b}')"
     x = f"regexp_replace({x}, '[\\t\\r\\f\\v]+', ' ', 'g')"
     x = f"regexp_replace({x}, '[ 　]+', ' ', 'g')"

@@ -30,18 +30,23 @@ class KeyedTable:
     """The current version of the table; versions are numbered by the batch that wrote them."""
 
     def __init__(self, spark: SparkSession, folder: str, keys: Sequence[str], order: Sequence[str]):
-        self.spark, self.folder, self.keys, self.order, self.version = spark, folder, list(keys), list(order), None
+        self.spark, self.folder, self.keys, self.order = spark, folder, list(keys), list(order)
+        self.versions: list[int] = []
 
     def merge(self, batch: DataFrame, number: int) -> None:
         """``foreachBatch`` target; a batch that comes again overwrites its own version with the same rows."""
         new = last_per_key(batch, self.keys, self.order)
-        if self.version is not None and self.version < number:
-            new = last_per_key(self.current().unionByName(new), self.keys, self.order)
+        before = [v for v in self.versions if v < number]
+        if before:
+            new = last_per_key(self.read(before[-1]).unionByName(new), self.keys, self.order)
         new.write.mode("overwrite").parquet(f"{self.folder}/v{number}")
-        self.version = number
+        self.versions = [*before, number]
+
+    def read(self, version: int) -> DataFrame:
+        return self.spark.read.parquet(f"{self.folder}/v{version}")
 
     def current(self) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/v{self.version}")
+        return self.read(self.versions[-1])
 
 
 def _folder(spark: SparkSession, path: str) -> tuple[str, str]:
@@ -61,4 +66,4 @@ def ingest(spark: SparkSession, path: str, keys: Sequence[str], order: Sequence[
     source = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).option("pathGlobFilter", only).parquet(folder_of)
     query = source.writeStream.foreachBatch(table.merge).option("checkpointLocation", f"{folder}/progress").trigger(availableNow=True).start()
     query.awaitTermination()
-    return table.current() if table.version is not None else spark.createDataFrame([], schema)
+    return table.current() if table.versions else spark.createDataFrame([], schema)
