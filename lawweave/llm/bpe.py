@@ -28,7 +28,7 @@ from lawweave.llm.common import category_class, tokenizer_dir
 #: Pieces kept in a task's memory; the oldest half goes when it is full.  Only speed depends on it.
 MEMORY = 400_000
 # The white space of Unicode (property White_Space).
-SPACE = "\t-\r \x85\xa0  -     　"
+SPACE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 
 
 @lru_cache(maxsize=None)
