@@ -40,7 +40,7 @@ THRESHOLD = 6.0
 TRUSTED = (
     r"(?is)(enable javascript|启用 ?javascript|禁用了脚本|not found|bad gateway|access denied|checking your browser|nullpointerexception|"
     r"正在加载|系统繁忙|访问的页面|登录已超时|重新登录|暂不支持在线预览|验证失败|lorem ipsum|占位|todo|\[object object\]|undefined|"
-    r"#ref!|nan年|此处填写|在此输入|示例文字|"
+    r"#ref!|nan年|此处填写|在此输入|示例文字|请求已被.{0,8}拦截|([一-鿿]{2,6})\2{4,}|"
     r"^\W*(\{\{|\$\{|\[\[|\{%|#\{|<%|%[^%\s]+%|__)[^\n]{0,30}\n|^\W*(none|null|undefined|nan)\W*$)"
 )
 
@@ -53,6 +53,7 @@ _MARK = re.compile(
     r"(?<![A-Za-z])(?:NaN|null|None|undefined|\[object Object\]|#REF!|#N/A|#VALUE!)(?![A-Za-z])|X{2,}"
 )
 _EMPTY = re.compile(r"NaN|null|None|undefined|\[object Object\]|#\S+!|#N/A|X+")
+_REPEAT = re.compile(r"([一-鿿A-Za-z]{2,6})\1{4,}")
 _NAME = re.compile(r"[^\W_]+(?:[._ -]?[^\W_]+)*")
 _SENTENCE = re.compile(r"[^。；！？\n]+[。；！？]?")
 _TOKEN = re.compile(r"[一-鿿㐀-䶿]+|[A-Za-zÀ-ɏ]+|[0-9]+")
@@ -70,6 +71,8 @@ def passages(text: str) -> list[tuple[str, ...]]:
         kind = "inside" if _wordy(before) or _wordy(after) else "alone" if not before.strip() and not after.strip() else "beside"
         quoted = "quoted" if body.count("“", 0, m.start()) > body.count("”", 0, m.start()) else "open"
         out.append((f"{quoted} {shape}", f"{quoted} {shape} {kind}"))
+    if _REPEAT.search(body):
+        out.append(("open repeated unit", "open repeated unit alone"))
     for s in lines:
         s = _MARK.sub(" ", _HEAD.sub("", s))
         f: dict[str, None] = {}
@@ -120,7 +123,7 @@ class Bayes:
         return best
 
     def is_residue(self, text: str) -> bool:
-        return (bool(_MARK.search(text)) or self._bound(text)) and self.score(text) > self.threshold
+        return (bool(_MARK.search(text) or _REPEAT.search(text)) or self._bound(text)) and self.score(text) > self.threshold
 
     def __getstate__(self) -> tuple:
         return self.weight, self.prior, self.threshold
