@@ -49,6 +49,7 @@ _SPLIT = re.compile(r"[\s　|｜/·>»－—\-\[\]【】:：]+")
 _BODY = re.compile(r"[。；：;:.!?！？”）)]$")
 _START = re.compile(r"^\s*(?:第[一二三四五六七八九十百零〇0-9]+[条章节编]|Article \d|[（(][一二三四五六七八九十0-9]+[）)]|[一二三四五六七八九十]+、|Chapter|附件|附录)")
 _BULLET = re.compile(r"^\s*(?:[·>•▪*]|\d{1,2}[.、]\s?)")
+_TEXT = re.compile(r"[，。；：]|^\d{4}年|^（此件")
 _DATE = re.compile(r"\d{2}-\d{2}$")
 _WORDS = re.compile(r"[A-Za-z]+|[一-鿿]{1,6}")
 _SEPS, _DIGIT, _PUNCT = re.compile(r"[|｜/·>»－—　]|  | - "), re.compile("[0-9]"), re.compile("[。，；、,;]")
@@ -117,7 +118,7 @@ def weak_labels(lines: list[str]) -> list[int]:
             under, hit = True, 1
         elif _SURE.search(s) and not is_body(s) or menu or (_SURE.search(s) and re.search(ELEMENTS["cookie"] + "|地址：|Copyright|版权所有", s) and not _START.match(s)):
             under, hit = False, 1
-        elif under and not is_body(s) and not _START.match(s) and (_BULLET.match(s) or _DATE.search(s) or re.search("〔|《|关于|Notice|办法|规定|规则|细则|指引|须知|规范|标准|规程", s)):
+        elif under and not is_body(s) and not _START.match(s) and (_BULLET.match(s) or _DATE.search(s) or not _TEXT.search(s)):
             hit = 1
         else:
             under, hit = False, 0
