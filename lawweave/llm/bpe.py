@@ -46,6 +46,7 @@ class BytePairs:
         self.strings = {i: b for b, i in ranks.items()}
         self.inside = {b[i : i + 2] for b in ranks for i in range(len(b) - 1)}
         self.memory: dict[str, bytes] = {}
+        self.counts: dict[str, int] = {}
         self.atoms: dict[bytes, bytes] = {}
 
     @classmethod
@@ -111,6 +112,23 @@ class BytePairs:
             out.append(ids)
         return b"".join(out)
 
+    def piece_ids(self, piece: str) -> list[int]:
+        """Ids of one piece of the tokenizer's own split."""
+        return np.frombuffer(self.memory.get(piece) or self.piece(piece), np.int32).tolist()
+
+    def count_pieces(self, pieces: list[str]) -> int:
+        """Tokens of pieces of the tokenizer's own split."""
+        counts = self.counts
+        try:
+            return sum(map(counts.__getitem__, pieces))
+        except KeyError:
+            for p in pieces:
+                if p not in counts:
+                    if len(counts) >= 2 * MEMORY:
+                        counts.clear()
+                    counts[p] = len(self.piece(p)) // 4
+            return sum(counts[p] if p in counts else len(self.piece(p)) // 4 for p in pieces)
+
     def encode(self, text: str | None) -> list[int]:
         return np.frombuffer(self.encode_packed(text or ""), np.int32).tolist()
 

@@ -22,12 +22,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, LongType, StructField, StructType
 
 from lawweave.llm.sizes import token_counts
-from lawweave.session import small
 
 #: Parts into which the items of one length are split for ranking.
 SALTS = 64
-#: Most rows of patterns that are broadcast.
-BROADCAST_ROWS = 200_000
 
 
 def pack_histogram(hist: dict[int, int], capacity: int) -> list[tuple[int, int, int, int, int]]:
@@ -88,8 +85,9 @@ def ranked(items: DataFrame, id: str) -> DataFrame:
     counts = salted.groupBy("size", "salt").agg(F.count("*").alias("n"))
     before = F.sum("n").over(Window.partitionBy("size").orderBy("salt").rowsBetween(Window.unboundedPreceding, -1))
     offsets = counts.select("size", "salt", F.coalesce(before, F.lit(0)).alias("offset"))  # at most SALTS rows per size
+    # The window has partitioned the items by size and salt already, so the join moves only the offsets.
     within = F.row_number().over(Window.partitionBy("size", "salt").orderBy(id, "part")) - 1
-    return salted.withColumn("within", within).join(small(offsets.persist(), BROADCAST_ROWS), ["size", "salt"]).select(id, "part", "start", "size", (F.col("offset") + F.col("within")).alias("rank"))
+    return salted.withColumn("within", within).join(offsets, ["size", "salt"]).select(id, "part", "start", "size", (F.col("offset") + F.col("within")).alias("rank"))
 
 
 def pack(sizes: DataFrame, id: str, size: str, capacity: int) -> DataFrame:

@@ -39,6 +39,34 @@ def counter(name: str, folder: str | None = None) -> Callable[[str], int]:
     raise ValueError(f"no tokenizer named {name!r} in {tokenizer_dir(folder)}")
 
 
+@lru_cache(maxsize=None)
+def many_counter(name: str, folder: str | None = None) -> Callable[[list[str]], list[int]]:
+    """The same for a list of texts; in one call where the library takes lists."""
+    base = os.path.join(tokenizer_dir(folder), name)
+    if os.path.exists(base + ".model") and not os.path.exists(base + ".tiktoken"):
+        import sentencepiece
+
+        sp = sentencepiece.SentencePieceProcessor(model_file=base + ".model")
+        return lambda texts: list(map(len, sp.encode(texts, num_threads=1)))
+    one = counter(name, folder)
+    return lambda texts: list(map(one, texts))
+
+
+@lru_cache(maxsize=None)
+def crossings(name: str, folder: str | None = None) -> frozenset[str] | None:
+    """Pairs of signs that some token of a sentencepiece vocabulary holds side by side; None for other tokenizers.
+
+    Between any other two signs no token reaches over, so sizes of the parts beside such a place add up.
+    """
+    path = os.path.join(tokenizer_dir(folder), f"{name}.model")
+    if not os.path.exists(path):
+        return None
+    import sentencepiece
+
+    sp = sentencepiece.SentencePieceProcessor(model_file=path)
+    return frozenset(p[i : i + 2] for k in range(sp.get_piece_size()) if not sp.is_byte(k) for p in [sp.id_to_piece(k)] for i in range(len(p) - 1))
+
+
 def token_counts(df: DataFrame, id: str, text: str, tokenizers: list[str], folder: str | None = None) -> DataFrame:
     """(id, one int column per tokenizer): the size of every text; null and empty texts have size 0.  Narrow."""
 

@@ -17,8 +17,9 @@ from __future__ import annotations
 import heapq
 import os
 import re
-from bisect import bisect_right
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -28,7 +29,7 @@ from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 from lawweave.llm.bpe import BytePairs, piece_pattern, vocabulary
 from lawweave.llm.common import tokenizer_dir
 from lawweave.llm.packing import limits
-from lawweave.llm.sizes import counter
+from lawweave.llm.sizes import counter, crossings, many_counter
 
 #: Tokens kept free besides the overlap: its place may have to move by a part of a sign.
 SLACK = 3
@@ -54,29 +55,61 @@ def strength(text: str, end: int) -> int:
     return STRENGTH.get(text[back - 1] if back else "", 1 if back < end else 0)
 
 
-def _bpe_segments(v: BytePairs, text: str, most: int) -> list[tuple[int, int, int]]:
-    """(end, size, strength) of the atomic segments, at ends of the tokenizer's own split."""
+_ENDS = re.compile(r"(?:[。！？!?…]+[”’）》」』)\]]*|(?<=[a-z0-9)”])\.(?= )|\n)\s*")
+
+
+def sentences(text: str) -> list[tuple[int, int]]:
+    """(end, strength) of the text's sentences and lines.
+
+    An end is never between two punctuation signs, and a last space goes with the next sentence, so every end
+    is an end of the byte-level tokenizers' own split as well.
+    """
+    out = []
+    n = len(text)
+    for m in _ENDS.finditer(text):
+        end = m.end()
+        if end >= n:
+            break
+        if text[end - 1] == " ":
+            end -= 1
+        before, after = text[end - 1], text[end]
+        if end == m.start() or (not before.isspace() and not after.isspace() and not after.isalnum()):
+            continue
+        s = strength(text, end) if after != " " else 3 if not before.isspace() else 4
+        if s >= 3:
+            out.append((end, s))
+    if n:
+        out.append((n, 7))
+    return out
+
+
+def _bpe_segments(v: BytePairs, text: str, most: int, ends: list[tuple[int, int]]) -> list[tuple[int, int, int]]:
+    """(end, size, strength) of the atomic segments: sentences, and the parts of one that is too large."""
     out: list[tuple[int, int, int]] = []
-    size = at = 0
-    inner: list[tuple[int, int, int]] = []  # ends of weaker strength inside the open segment
-    memory = v.memory
-    for m in piece_pattern().finditer(text):
-        p = m.group()
-        ids = memory.get(p)
-        n = (len(ids) if ids is not None else len(v.encode_packed(p))) // 4
-        at = m.end()
+    at, pieces = 0, piece_pattern().findall
+    for end, s in ends:
+        found = pieces(text, at, end)
+        if end < len(text) and len(w := found[-1]) > 1 and w.isspace() and not text[end].isspace():
+            found[-1:] = [w[:-1], w[-1]]  # the split depends on what follows the white space
+        n = v.count_pieces(found)
+        out += [(end, n, s)] if n <= most else _bpe_parts(v, text, at, end, s, most)
+        at = end
+    return out
+
+
+def _bpe_parts(v: BytePairs, text: str, start: int, stop: int, s_last: int, most: int) -> list[tuple[int, int, int]]:
+    """The same for one sentence that is too large: its clauses, words, or stretches of signs."""
+    out: list[tuple[int, int, int]] = []
+    inner: list[tuple[int, int, int]] = []
+    for m in piece_pattern().finditer(text, start, stop):
+        p, at = m.group(), m.end()
+        n = v.count_pieces([p])
         if n > most:
-            out += inner
-            out += _cut_long(v, p, at - len(p), most)
-            inner, size = [], 0
+            out += (_merge_weak(inner, most) if inner else []) + _cut_long(v, p, at - len(p), most)
+            inner = []
             continue
         last = p[-1]
-        s = strength(text, at) if last in STRENGTH or last.isspace() or last == "." or at == len(text) else 0
-        inner.append((at, n, s))
-        size += n
-        if s >= 3:
-            out += [(at, size, s)] if size <= most else _merge_weak(inner, most)
-            inner, size = [], 0
+        inner.append((at, n, s_last if at == stop else strength(text, at) if last in STRENGTH or last.isspace() or last == "." else 0))
     return out + (_merge_weak(inner, most) if inner else [])
 
 
@@ -116,14 +149,19 @@ def _cut_long(v: BytePairs, piece: str, start: int, most: int) -> list[tuple[int
     return out
 
 
-def _counted_segments(count, text: str, most: int) -> list[tuple[int, int, int]]:
-    """The same for any other tokenizer: ends found in the text alone, segments counted one by one."""
-    out, at = [], 0
-    for m in re.finditer(r"[。！？!?…][”’）》)]*|\n+[ \t　]*|(?<=[a-z0-9)])\. ", text):
-        if m.end() < len(text) and (s := strength(text, m.end())) >= 3:
-            out += _small(count, text, at, m.end(), s, most)
-            at = m.end()
-    return out + (_small(count, text, at, len(text), 7, most) if at < len(text) else [])
+def _counted_segments(count, many, text: str, most: int, ends: list[tuple[int, int]]) -> list[tuple[int, int, int]]:
+    """The same for any other tokenizer: each sentence is counted by itself, behind a line end and without it.
+
+    So a mark that a tokenizer sets at a text's beginning does not count once per sentence.
+    """
+    starts = [0, *(e for e, _ in ends[:-1])]
+    lead = count("\n")
+    out: list[tuple[int, int, int]] = []
+    sizes = many(["\n" + text[a:b] for a, (b, _) in zip(starts, ends, strict=True)])
+    for a, (b, s), size in zip(starts, ends, sizes, strict=True):
+        n = size - lead
+        out += [(b, n, s)] if n <= most else _small(lambda t: count("\n" + t) - lead, text, a, b, s, most)
+    return out
 
 
 def _small(count, text: str, a: int, b: int, s: int, most: int) -> list[tuple[int, int, int]]:
@@ -161,28 +199,62 @@ def merge(segments: list[tuple[int, int, int]], capacity: int, overlap: int) ->
     return [(segments[last[i]][0], size[i]) for i in range(n) if not gone[i]]
 
 
-def _overlap_start(v: BytePairs | None, count, text: str, start: int, overlap: int) -> int:
-    """Where the last ``overlap`` tokens before ``start`` begin; at a sign's beginning."""
-    if v is None:
-        lo, hi = max(0, start - 6 * overlap - 16), start  # the latest place with at least as many tokens
-        if count(text[lo:start]) <= overlap:
-            return lo if lo == 0 else lo
+class Overlap:
+    """Finds where the last tokens before an end of a segment begin, from the segments' sizes."""
+
+    def __init__(self, v: BytePairs | None, count, text: str, segments: list[tuple[int, int, int]], crossed: frozenset[str] | None = None):
+        self.v, self.count, self.text, self.crossed = v, count, text, crossed
+        self.ends = [0, *(e for e, _, _ in segments)]
+        self.before = [0, *accumulate(n for _, n, _ in segments)]  # tokens before each end
+
+    def size(self, start: int, end: int) -> int:
+        """Tokens of a text of whole segments: the sum of its segments' sizes where no token can reach over their ends, else counted."""
+        i, k = bisect_left(self.ends, start), bisect_left(self.ends, end)
+        text = self.text
+        if self.crossed is None or self.ends[i] != start or k >= len(self.ends) or self.ends[k] != end or any(text[e - 1 : e + 1].replace(" ", "▁") in self.crossed for e in self.ends[i + 1 : k]):
+            return self.count(text[start:end])
+        first = self.ends[i + 1]
+        return self.count(text[start:first]) + self.before[k] - self.before[i + 1]
+
+    def start(self, core: int, overlap: int) -> tuple[int, int]:
+        """(place, tokens): the latest sign's beginning with at least ``overlap`` tokens up to ``core``, and their number as a text of their own."""
+        text, v = self.text, self.v
+        k = bisect_left(self.ends, core)
+        if v is None or self.ends[k] != core:
+            return self._search(core, overlap)
+        skip = self.before[k] - overlap
+        if skip <= 0:
+            return 0, self.before[k]
+        i = bisect_right(self.before, skip) - 1  # the segment the overlap begins in
+        at, skip = self.ends[i], skip - self.before[i]
+        after = self.before[k] - self.before[i + 1]
+        left = self.before[i + 1] - self.before[i]  # tokens from ``at`` to the segment's end
+        for p in piece_pattern().findall(text, at, self.ends[i + 1]):
+            n = v.counts.get(p) or v.count_pieces([p])
+            if skip < n:
+                raw = p.encode("utf-8", "replace")
+                cut = exact = sum(len(v.strings[t]) for t in v.piece_ids(p)[:skip])
+                while cut > 0 and raw[cut] & 0xC0 == 0x80:
+                    cut -= 1
+                inside = len(raw[:cut].decode("utf-8", "replace"))
+                if cut == 0 or (cut == exact and raw[cut - 1 : cut + 1] not in v.inside):  # no token reaches over this place
+                    return at + inside, after + left - (skip if cut else 0)
+                return at + inside, after + left - n + v.count_pieces([p[inside:]])
+            skip, left = skip - n, left - n
+            at += len(p)
+        return self.ends[i + 1], after
+
+
+    def _search(self, core: int, overlap: int) -> tuple[int, int]:
+        lo, hi = 0, core
+        for reach in (2 * overlap + 16, 12 * overlap + 64):
+            if core > reach and self.count(self.text[core - reach : core]) > overlap:
+                lo = core - reach
+                break
         while hi - lo > 1:
             mid = (lo + hi) // 2
-            lo, hi = (mid, hi) if count(text[mid:start]) >= overlap else (lo, mid)
-        return lo
-    for reach in (overlap + 16, 9 * overlap + 64, start):
-        before = text[max(0, start - reach) : start]
-        ids = v.encode(before)
-        if len(ids) > overlap + 8:  # tokens near the window's own beginning may differ from those of the text
-            break
-    if len(ids) <= overlap:
-        return start - len(before)
-    raw = before.encode("utf-8", "replace")
-    at = len(raw) - sum(len(v.strings[i]) for i in ids[-overlap:])
-    while at > 0 and raw[at] & 0xC0 == 0x80:
-        at -= 1
-    return start - len(raw[at:].decode("utf-8", "replace"))
+            lo, hi = (mid, hi) if self.count(self.text[mid:core]) >= overlap else (lo, mid)
+        return lo, self.count(self.text[lo:core])
 
 
 def split(text: str, tokenizer: str, capacity: int, overlap: int, folder: str | None = None) -> list[tuple[int, int, int, int]]:
@@ -193,8 +265,12 @@ def split(text: str, tokenizer: str, capacity: int, overlap: int, folder: str |
     return split_all(text, tokenizer, [(capacity, overlap)], folder)[0]
 
 
-def split_all(text: str, tokenizer: str, todo: list[tuple[int, int]], folder: str | None = None) -> list[list[tuple[int, int, int, int]]]:
-    """``split`` for several (capacity, overlap) of one tokenizer: the text is cut into segments and counted once."""
+def split_all(text: str, tokenizer: str, todo: list[tuple[int, int]], folder: str | None = None, ends: list[tuple[int, int]] | None = None) -> list[list[tuple[int, int, int, int]]]:
+    """``split`` for several (capacity, overlap) of one tokenizer: the text is cut into segments and counted once.
+
+    ``ends``: the text's ``sentences``, where the caller has them.
+    """
+    ends = sentences(text) if ends is None else ends
     bpe = os.path.exists(os.path.join(tokenizer_dir(folder), f"{tokenizer}.tiktoken"))
     count = counter(tokenizer, folder)
     v = vocabulary(tokenizer, folder) if bpe else None
@@ -204,40 +280,47 @@ def split_all(text: str, tokenizer: str, todo: list[tuple[int, int]], folder: st
     if most < 1:
         raise ValueError("the overlap leaves no room in a piece")
     if bpe:
-        segments = _bpe_segments(v, text, most)
+        segments = _bpe_segments(v, text, most, ends)
         total = sum(n for _, n, _ in segments)
+    elif len(text) * 4 + 4 <= min(c for c, _ in todo):  # at most four byte tokens a sign, and a mark at the beginning
+        return [[] for _ in todo]
     else:
-        total = count(text)
-        segments = _counted_segments(count, text, most) if total > min(c for c, _ in todo) else []
+        most -= 2  # the mark at a piece's beginning
+        if most < 1:
+            raise ValueError("the limit leaves no room in a piece")
+        segments = _counted_segments(count, many_counter(tokenizer, folder), text, most, ends)
+        total = sum(n for _, n, _ in segments)
+        if any(0.9 * c - 4 <= total <= 1.1 * c + 4 for c, _ in todo):  # near a limit the exact size decides
+            total = count(text)
     result = []
+    back = Overlap(v, count, text, segments, None if bpe else crossings(tokenizer, folder))
     for capacity, overlap in todo:
         out: list[tuple[int, int, int, int]] = []
         core = 0
-        for end, size in merge(segments, capacity, overlap) if total > capacity else ():
-            out += _checked(v, count, text, core, end, size, capacity, overlap, bool(out))
+        for end, size in merge(segments, capacity - (0 if bpe else 2), overlap) if total > capacity else ():
+            out += _checked(back, core, end, size, capacity, overlap, bool(out))
             core = end
         result.append(out)
     return result
 
 
-def _checked(v: BytePairs | None, count, text: str, core: int, end: int, size: int, capacity: int, overlap: int, later: bool) -> list[tuple[int, int, int, int]]:
-    start = _overlap_start(v, count, text, core, overlap) if overlap and later else core
-    if v is None:
-        whole = count(text[start:end])
-    else:  # the core begins where the tokenizer's own split does, so the two parts' sizes add up
-        whole = size + (count(text[start:core]) if start < core else 0)
+def _checked(back: Overlap, core: int, end: int, size: int, capacity: int, overlap: int, later: bool) -> list[tuple[int, int, int, int]]:
+    """The piece with its overlap; two or more where it is too large after all."""
+    start, extra = back.start(core, overlap) if overlap and later else (core, 0)
+    # With byte-level BPE the core begins where the tokenizer's own split does, so the two sizes add up.
+    whole = size + extra if back.v else back.size(start, end)
     if whole <= capacity or end - core <= 1:
         return [(start, core, end, whole)]
     middle = (core + end) // 2
-    cut = max(range(core + 1, end), key=lambda i: (strength(text, i), -abs(i - middle)))
-    left = _checked(v, count, text, core, cut, count(text[core:cut]), capacity, overlap, later)
-    return left + _checked(v, count, text, cut, end, count(text[cut:end]), capacity, overlap, True)
+    cut = max(range(core + 1, end), key=lambda i: (strength(back.text, i), -abs(i - middle)))
+    left = _checked(back, core, cut, back.count(back.text[core:cut]), capacity, overlap, later)
+    return left + _checked(back, cut, end, back.count(back.text[cut:end]), capacity, overlap, True)
 
 
 def split_documents(docs: DataFrame, id: str, text: str, size_limits: DataFrame, folder: str | None = None) -> DataFrame:
     """(limit_id, id, piece, start, core_start, end, tokens, text) of every document above a piece limit.
 
-    Narrow: each text is cut in the task that reads it.
+    ``tokens`` is the size as it adds up inside the whole text; the piece by itself never has more.  Narrow: each text is cut in the task that reads it.
     """
     todo = limits(size_limits, "piece")
 
@@ -245,9 +328,10 @@ def split_documents(docs: DataFrame, id: str, text: str, size_limits: DataFrame,
         for b in batches:
             texts = b.column(1).to_pylist()
             found = {}
+            ends = [sentences(t) if t else [] for t in texts]
             for tokenizer in dict.fromkeys(t for _, t, _, _ in todo):
                 mine = [(limit, c, o) for limit, t, c, o in todo if t == tokenizer]
-                cut = [split_all(t, tokenizer, [x[1:] for x in mine], folder) if t else [[]] * len(mine) for t in texts]
+                cut = [split_all(t, tokenizer, [x[1:] for x in mine], folder, e) if t else [[]] * len(mine) for t, e in zip(texts, ends, strict=True)]
                 found |= {limit: [c[k] for c in cut] for k, (limit, _, _) in enumerate(mine)}
             for limit, *_ in todo:
                 rows = [(i, k, *p) for i, cut in enumerate(found[limit]) for k, p in enumerate(cut)]
