@@ -180,6 +180,6 @@ def best_candidate(df: DataFrame, group: str, title: Column, date: str, id: str,
     s = F.when(title == q, 5).otherwise(0) + F.when(F.contains(title, F.lit(q)), 2).otherwise(0) + F.when(active, 2).otherwise(0)
     rows = df.where(title.isNotNull()).select(group, F.col(id).alias("id"), title.alias("title"), F.coalesce(F.col(date), F.lit("")).alias("date"), s.alias("score"))
     top = rows.groupBy(group).agg(F.max(F.struct("score", "date")).alias("_m"))
-    tied = rows.join(F.broadcast(top.withColumnRenamed(group, "_g")), (F.col(group) == F.col("_g")) & (F.struct("score", "date") == F.col("_m")), "left_semi")  # a row per group
+    tied = rows.join(top.withColumnRenamed(group, "_g"), (F.col(group) == F.col("_g")) & (F.struct("score", "date") == F.col("_m")), "left_semi")
     return tied.groupBy(group).agg(F.min_by(F.struct("id", "title", "date", "score"), F.col("id")).alias("_r")).select(group, "_r.*")
 
