@@ -58,6 +58,24 @@ def strength(text: str, end: int) -> int:
 _ENDS = re.compile(r"(?:[。！？!?…]+[”’）》」』)\]]*|(?<=[a-z0-9)”])\.(?= )|\n)\s*")
 
 
+_LINE_ENDS = re.compile(r"\n\s*")
+
+
+def lines(text: str) -> list[tuple[int, int]]:
+    """(end, strength) of the text's lines; the white space after a line end goes with it, but for a last space."""
+    out = []
+    n = len(text)
+    for m in _LINE_ENDS.finditer(text):
+        end = m.end()
+        if end >= n:
+            break
+        space = text[end - 1] == " "
+        out.append((end - space, 4 if space else strength(text, end)))
+    if n:
+        out.append((n, 7))
+    return out
+
+
 def sentences(text: str) -> list[tuple[int, int]]:
     """(end, strength) of the text's sentences and lines.
 
@@ -83,18 +101,53 @@ def sentences(text: str) -> list[tuple[int, int]]:
     return out
 
 
-def _bpe_segments(v: BytePairs, text: str, most: int, ends: list[tuple[int, int]]) -> list[tuple[int, int, int]]:
-    """(end, size, strength) of the atomic segments: sentences, and the parts of one that is too large."""
+def _bpe_segments(v: BytePairs, text: str, most: int, ends: list[tuple[int, int]]) -> tuple[list[tuple[int, int, int]], list[list[str] | None]]:
+    """(end, size, strength) of the atomic segments - lines, the sentences of a line that is too large, and so on - and their pieces."""
     out: list[tuple[int, int, int]] = []
+    kept: list[list[str] | None] = []
     at, pieces = 0, piece_pattern().findall
     for end, s in ends:
-        found = pieces(text, at, end)
-        if end < len(text) and len(w := found[-1]) > 1 and w.isspace() and not text[end].isspace():
-            found[-1:] = [w[:-1], w[-1]]  # the split depends on what follows the white space
-        n = v.count_pieces(found)
-        out += [(end, n, s)] if n <= most else _bpe_parts(v, text, at, end, s, most)
+        n = _size_in_place(v, found := pieces(text, at, end), text, end)
+        if n <= most:
+            out.append((end, n, s))
+            kept.append(found)
+        else:
+            start, inner = at, sentences(text[at:end])
+            for stop, t in inner:
+                stop, t = at + stop, s if at + stop == end else t
+                n = _size_in_place(v, found := pieces(text, start, stop), text, stop)
+                new = [(stop, n, t)] if n <= most else _bpe_parts(v, text, start, stop, t, most)
+                out += new
+                kept += [found] if n <= most else [None] * len(new)
+                start = stop
         at = end
-    return out
+    return out, kept
+
+
+def _size_in_place(v: BytePairs, found: list[str], text: str, end: int) -> int:
+    if end < len(text) and len(w := found[-1]) > 1 and w.isspace() and not text[end].isspace():
+        found[-1:] = [w[:-1], w[-1]]  # the split depends on what follows the white space
+    return v.count_pieces(found)
+
+
+def gathered(segments: list[tuple[int, int, int]], most: int) -> list[tuple[int, int, int]]:
+    """Segments joined where the order of merging cannot matter: level by level, runs that fit as a whole.
+
+    Boundaries are merged weakest first, so a run between two stronger boundaries that fits is always merged
+    completely before either of them comes up; the heap only has to see what is left.
+    """
+    for level in (4, 5, 6, 7):
+        out: list[tuple[int, int, int]] = []
+        run: list[tuple[int, int, int]] = []
+        size = 0
+        for x in segments:
+            run.append(x)
+            size += x[1]
+            if x[2] >= level:
+                out += run if len(run) == 1 or size > most else [(x[0], size, x[2])]
+                run, size = [], 0
+        segments = out + run
+    return segments
 
 
 def _bpe_parts(v: BytePairs, text: str, start: int, stop: int, s_last: int, most: int) -> list[tuple[int, int, int]]:
@@ -150,17 +203,24 @@ def _cut_long(v: BytePairs, piece: str, start: int, most: int) -> list[tuple[int
 
 
 def _counted_segments(count, many, text: str, most: int, ends: list[tuple[int, int]]) -> list[tuple[int, int, int]]:
-    """The same for any other tokenizer: each sentence is counted by itself, behind a line end and without it.
+    """The same for any other tokenizer: each line is counted by itself, behind a line end and without it.
 
-    So a mark that a tokenizer sets at a text's beginning does not count once per sentence.
+    So a mark that a tokenizer sets at a text's beginning does not count once per line.
     """
-    starts = [0, *(e for e, _ in ends[:-1])]
     lead = count("\n")
     out: list[tuple[int, int, int]] = []
-    sizes = many(["\n" + text[a:b] for a, (b, _) in zip(starts, ends, strict=True)])
-    for a, (b, s), size in zip(starts, ends, sizes, strict=True):
-        n = size - lead
-        out += [(b, n, s)] if n <= most else _small(lambda t: count("\n" + t) - lead, text, a, b, s, most)
+
+    def sized(ends: list[tuple[int, int]], start: int) -> Iterator[tuple[int, int, int, int]]:
+        starts = [start, *(e for e, _ in ends[:-1])]
+        sizes = many(["\n" + text[a:b] for a, (b, _) in zip(starts, ends, strict=True)])
+        return ((a, b, n - lead, s) for a, (b, s), n in zip(starts, ends, sizes, strict=True))
+
+    for a, b, n, s in sized(ends, 0):
+        if n <= most:
+            out.append((b, n, s))
+            continue
+        for c, d, k, t in sized([(a + e, s if a + e == b else t) for e, t in sentences(text[a:b])], a):
+            out += [(d, k, t)] if k <= most else _small(lambda x: count("\n" + x) - lead, text, c, d, t, most)
     return out
 
 
@@ -175,8 +235,9 @@ def _small(count, text: str, a: int, b: int, s: int, most: int) -> list[tuple[in
 
 def merge(segments: list[tuple[int, int, int]], capacity: int, overlap: int) -> list[tuple[int, int]]:
     """(end, size) of the pieces: adjacent segments merged, weakest boundary first, smallest sum first among equals."""
-    n = len(segments)
     most = capacity - (overlap + SLACK if overlap else 0)
+    segments = gathered(segments, most)
+    n = len(segments)
     size = [s for _, s, _ in segments]
     last = list(range(n))  # index of the last segment of the group that begins here
     first = list(range(n))  # the first of the group that ends here
@@ -202,8 +263,8 @@ def merge(segments: list[tuple[int, int, int]], capacity: int, overlap: int) ->
 class Overlap:
     """Finds where the last tokens before an end of a segment begin, from the segments' sizes."""
 
-    def __init__(self, v: BytePairs | None, count, text: str, segments: list[tuple[int, int, int]], crossed: frozenset[str] | None = None):
-        self.v, self.count, self.text, self.crossed = v, count, text, crossed
+    def __init__(self, v: BytePairs | None, count, text: str, segments: list[tuple[int, int, int]], pieces: list[list[str] | None] | None = None, crossed: frozenset[str] | None = None):
+        self.v, self.count, self.text, self.pieces, self.crossed = v, count, text, pieces, crossed
         self.ends = [0, *(e for e, _, _ in segments)]
         self.before = [0, *accumulate(n for _, n, _ in segments)]  # tokens before each end
 
@@ -222,28 +283,56 @@ class Overlap:
         k = bisect_left(self.ends, core)
         if v is None or self.ends[k] != core:
             return self._search(core, overlap)
-        skip = self.before[k] - overlap
+        left, at, i = 0, core, k - 1
+        while i >= 0 and (found := self.pieces[i]) is not None:
+            for p in reversed(found):
+                n = v.counts.get(p) or v.count_pieces([p])
+                left, at = left + n, at - len(p)
+                if left >= overlap:
+                    return self._inside(p, n, at, left, left - overlap)
+            i -= 1
+        if i < 0:
+            return 0, left
+        for reach in (2 * overlap // 3 + 8, 2 * overlap + 16, 6 * overlap + 64, core):
+            at = self._safe(core - reach)
+            found = piece_pattern().findall(text, at, core)
+            counts = [v.counts.get(p) or v.count_pieces([p]) for p in found]
+            left = sum(counts)
+            if left >= overlap or not at:
+                break
+        skip = left - overlap
         if skip <= 0:
-            return 0, self.before[k]
-        i = bisect_right(self.before, skip) - 1  # the segment the overlap begins in
-        at, skip = self.ends[i], skip - self.before[i]
-        after = self.before[k] - self.before[i + 1]
-        left = self.before[i + 1] - self.before[i]  # tokens from ``at`` to the segment's end
-        for p in piece_pattern().findall(text, at, self.ends[i + 1]):
-            n = v.counts.get(p) or v.count_pieces([p])
+            return at, left
+        for p, n in zip(found, counts, strict=True):
             if skip < n:
-                raw = p.encode("utf-8", "replace")
-                cut = exact = sum(len(v.strings[t]) for t in v.piece_ids(p)[:skip])
-                while cut > 0 and raw[cut] & 0xC0 == 0x80:
-                    cut -= 1
-                inside = len(raw[:cut].decode("utf-8", "replace"))
-                if cut == 0 or (cut == exact and raw[cut - 1 : cut + 1] not in v.inside):  # no token reaches over this place
-                    return at + inside, after + left - (skip if cut else 0)
-                return at + inside, after + left - n + v.count_pieces([p[inside:]])
+                return self._inside(p, n, at, left, skip)
             skip, left = skip - n, left - n
             at += len(p)
-        return self.ends[i + 1], after
-
+        return core, 0
+
+    def _inside(self, p: str, n: int, at: int, left: int, skip: int) -> tuple[int, int]:
+        """The place after ``skip`` of the ``n`` tokens of the piece at ``at``, with ``left`` tokens from there to the core."""
+        v = self.v
+        need = n - skip  # a sign has at least one token, so the piece's last signs are enough
+        m = min(len(p), need + 2)
+        if m < len(p) and (p[-m - 1].encode("utf-8", "replace")[-1:] + p[-m].encode("utf-8", "replace")[:1]) in v.inside:
+            m = len(p)
+        tail = p[-m:]
+        raw = tail.encode("utf-8", "replace")
+        cut = exact = len(raw) - sum(len(v.strings[t]) for t in v.piece_ids(tail)[-need:])
+        while cut > 0 and raw[cut] & 0xC0 == 0x80:
+            cut -= 1
+        inside = len(p) - m + len(raw[:cut].decode("utf-8", "replace"))
+        if cut == exact and (cut == 0 or raw[cut - 1 : cut + 1] not in v.inside):  # no token reaches over this place
+            return at + inside, left - skip
+        return at + inside, left - n + v.count_pieces([p[inside:]])
+
+    def _safe(self, at: int) -> int:
+        """The nearest place from ``at`` back where the tokenizer's own split certainly has an end."""
+        text = self.text
+        while at > 0 and not ((text[at - 1] in "，。；：、！？" and text[at].isalnum()) or (text[at] == " " and not text[at - 1].isspace() and text[at + 1 : at + 2].isalpha())):
+            at -= 1
+        return max(at, 0)
 
     def _search(self, core: int, overlap: int) -> tuple[int, int]:
         lo, hi = 0, core
@@ -268,9 +357,9 @@ def split(text: str, tokenizer: str, capacity: int, overlap: int, folder: str |
 def split_all(text: str, tokenizer: str, todo: list[tuple[int, int]], folder: str | None = None, ends: list[tuple[int, int]] | None = None) -> list[list[tuple[int, int, int, int]]]:
     """``split`` for several (capacity, overlap) of one tokenizer: the text is cut into segments and counted once.
 
-    ``ends``: the text's ``sentences``, where the caller has them.
+    ``ends``: the text's ``lines``, where the caller has them.
     """
-    ends = sentences(text) if ends is None else ends
+    ends = lines(text) if ends is None else ends
     bpe = os.path.exists(os.path.join(tokenizer_dir(folder), f"{tokenizer}.tiktoken"))
     count = counter(tokenizer, folder)
     v = vocabulary(tokenizer, folder) if bpe else None
@@ -280,7 +369,7 @@ def split_all(text: str, tokenizer: str, todo: list[tuple[int, int]], folder: st
     if most < 1:
         raise ValueError("the overlap leaves no room in a piece")
     if bpe:
-        segments = _bpe_segments(v, text, most, ends)
+        segments, pieces = _bpe_segments(v, text, most, ends)
         total = sum(n for _, n, _ in segments)
     elif len(text) * 4 + 4 <= min(c for c, _ in todo):  # at most four byte tokens a sign, and a mark at the beginning
         return [[] for _ in todo]
@@ -293,7 +382,7 @@ def split_all(text: str, tokenizer: str, todo: list[tuple[int, int]], folder: st
         if any(0.9 * c - 4 <= total <= 1.1 * c + 4 for c, _ in todo):  # near a limit the exact size decides
             total = count(text)
     result = []
-    back = Overlap(v, count, text, segments, None if bpe else crossings(tokenizer, folder))
+    back = Overlap(v, count, text, segments, pieces if bpe else None, None if bpe else crossings(tokenizer, folder))
     for capacity, overlap in todo:
         out: list[tuple[int, int, int, int]] = []
         core = 0
@@ -328,7 +417,7 @@ def split_documents(docs: DataFrame, id: str, text: str, size_limits: DataFrame,
         for b in batches:
             texts = b.column(1).to_pylist()
             found = {}
-            ends = [sentences(t) if t else [] for t in texts]
+            ends = [lines(t) if t else [] for t in texts]
             for tokenizer in dict.fromkeys(t for _, t, _, _ in todo):
                 mine = [(limit, c, o) for limit, t, c, o in todo if t == tokenizer]
                 cut = [split_all(t, tokenizer, [x[1:] for x in mine], folder, e) if t else [[]] * len(mine) for t, e in zip(texts, ends, strict=True)]
