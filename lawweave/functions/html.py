@@ -35,7 +35,7 @@ def html_title(c: Column) -> Column:
 
 @pandas_udf(StringType())
 def absolute(base: pd.Series, href: pd.Series) -> pd.Series:
-    """``href`` resolved against ``base``; null if either is null or the reference is malformed."""
+    """``href`` resolved against ``base``; null if either is null or malformed."""
 
     def one(b: str | None, h: str | None) -> str | None:
         try:
