@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
-from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType, StructField, StructType
+from pyspark.sql.types import ArrayType, BooleanType, IntegerType, LongType, StringType, StructField, StructType
 
 from lawweave.session import small
 
@@ -43,7 +43,9 @@ LATIN = [tuple(x.split(">")) for x in "e>c h>li m>rn w>vv d>cl t>† i>í l>1 o>
 LEAST, RATIO = 12, 15
 #: Share of a Chinese sign's occurrences in which another has to follow, for the two to count as one word.
 SHARE = 0.005
-#: Most readings that are tried for one rare word.
+# The form all readings of a Latin word share; both sides of each pair of ``LATIN`` have the same one.
+CANON = str.maketrans({"e": "c", "h": "ll", "b": "ll", "u": "ll", "m": "rrl", "n": "rl", "w": "vv", "d": "cl", "t": "†", "T": "†", "g": "q", "i": "l", "í": "l", "I": "l", "1": "l", "o": "0", "O": "0"})
+#: Most readings of one rare word that are listed; a word with more is joined by its canonical form instead.
 READINGS = 512
 #: Most corrections or joins that are broadcast; beyond it Spark picks a shuffle join.
 BROADCAST_ROWS = 200_000
@@ -85,18 +87,49 @@ def _table(latin: bool) -> tuple[tuple[str, str], ...]:
     return tuple(LATIN if latin else CONFUSIONS)
 
 
+def _is_latin(word: str) -> bool:
+    return word[-1].isascii() or word[-1] in "†í"
+
+
+def _places(body: str, latin: bool) -> list[tuple[int, str, str]]:
+    return [(m.start(), right, seen) for right, seen in _table(latin) for m in re.finditer(re.escape(seen), body)]
+
+
+def many_readings(word: str) -> bool:
+    """Whether a word has more readings than are listed; a Chinese word is too short for that."""
+    return _is_latin(word) and 2 ** len(_places(word, True)) > READINGS
+
+
+def canonical_hash(word: str) -> int:
+    """The anagram hash of the canonical form: a Latin word and every reading of it have the same."""
+    return anagram(word.translate(CANON))
+
+
+def is_reading(word: str, right: str) -> bool:
+    """Whether some subset of the places of a Latin word, each replaced by what it may have been, gives ``right``."""
+    if word == right:
+        return False
+    ends: list[set[int]] = [set() for _ in range(len(word) + 1)]  # where in ``right`` the first signs of the word may end
+    ends[0].add(0)
+    places = _places(word, True)
+    for i, c in enumerate(word):
+        for seen, x in [(c, c), *((seen, x) for start, x, seen in places if start == i)]:
+            ends[i + len(seen)].update(j + len(x) for j in ends[i] if right.startswith(x, j))
+    return len(right) in ends[-1]
+
+
 def readings(word: str) -> list[tuple[int, str]]:
     """(hash difference, reading) of what a word may have been before it was misrecognised.
 
-    Every subset of the places where a recognised sign stands, up to ``READINGS``; all of one sign at
-    once beyond that.  The difference alone leads to the frequent word's hash.
+    Every subset of the places where a recognised sign stands; none for a word with ``many_readings``,
+    see ``corrections``.  The difference alone leads to the frequent word's hash.
     """
-    latin = word[-1].isascii() or word[-1] in "†í"
+    latin = _is_latin(word)
     body, lead, tail = (word, "", "") if latin else (word[1:-1], word[0], word[-1]) if word[-1] not in "．" else (word[1:], word[0], "")
-    places = [(m.start(), right, seen) for right, seen in _table(latin) for m in re.finditer(re.escape(seen), body)]
-    if not places:
+    places = _places(body, latin)
+    if not places or many_readings(word):
         return []
-    options = list(product((0, 1), repeat=len(places))) if 2 ** len(places) <= READINGS else [tuple(int(p[1:] == q) for p in places) for q in {p[1:] for p in places}] + [tuple(int(p[1:] in two) for p in places) for q in {p[1:] for p in places} for r in {p[1:] for p in places} if q < r for two in [(q, r)]]
+    options = list(product((0, 1), repeat=len(places)))
     out = {}
     for o in options:
         picked = sorted(p for p, on in zip(places, o, strict=True) if on)
@@ -289,17 +322,40 @@ def _targets(words: pd.Series) -> pd.Series:
     return words.map(lambda w: [((anagram(w) + d) % m, r) for d, r in readings(w)])
 
 
+@pandas_udf(LongType())
+def _canonical(words: pd.Series) -> pd.Series:
+    return words.map(canonical_hash)
+
+
+@pandas_udf(BooleanType())
+def _many(words: pd.Series) -> pd.Series:
+    return words.map(many_readings)
+
+
+@pandas_udf(BooleanType())
+def _is_reading(words: pd.Series, rights: pd.Series) -> pd.Series:
+    return pd.Series([is_reading(w, r) for w, r in zip(words, rights, strict=True)], dtype=bool)
+
+
 def corrections(counts: DataFrame, least: int = LEAST, ratio: int = RATIO) -> DataFrame:
     """(word, right, n, n_right): for each rare word its best frequent confusable variant.
 
     The join is on the anagram hash plus the difference of the confusion; that the signs are also in the
-    right order is checked on the joined rows.  Ranked by the frequent word's count, then by the word.
+    right order is checked on the joined rows.  Words with too many readings to list are joined on the hash
+    of the canonical form, and whether the frequent word is one of their readings is checked on the joined
+    rows, so that no subset of places is left out.  Ranked by the frequent word's count, then by the word.
     """
     mine = counts.where((F.length("word") >= 2) & ~F.col("word").startswith(" ")).select(F.col("word"), "n")
-    often = mine.where(F.col("n") >= least).select(F.col("word").alias("right"), F.col("n").alias("n_right"), _hash("word").alias("h"))
+    often = mine.where(F.col("n") >= least).select(F.col("word").alias("right"), F.col("n").alias("n_right"))
     signs = "|".join(map(re.escape, [*_SEEN, *{b for _, b in LATIN}]))
-    rare = mine.where(F.col("word").rlike(signs)).select("word", "n", F.explode(_targets("word")).alias("t")).select("word", "n", "t.h", "t.reading")
-    both = rare.join(often, "h").where((F.col("reading") == F.col("right")) & (F.col("n_right") >= ratio * F.col("n")) & ((F.length("word") >= 3) | ~F.col("word").rlike("[ -~í]$") | F.col("word").rlike("[†0-9]")))
+    odd = mine.where(F.col("word").rlike(signs))
+    rare = odd.select("word", "n", F.explode(_targets("word")).alias("t")).select("word", "n", "t.h", "t.reading")
+    enough = F.col("n_right") >= ratio * F.col("n")
+    listed = rare.join(often.withColumn("h", _hash("right")), "h").where((F.col("reading") == F.col("right")) & enough)
+    latin = "^[A-Za-z0-9†í]{4,}$"  # a word of fewer signs has no more readings than are listed
+    rest = odd.where(F.col("word").rlike(latin)).where(_many("word")).withColumn("h", _canonical("word"))
+    rest = rest.join(often.where(F.col("right").rlike("^[A-Za-z0-9†í]+$")).withColumn("h", _canonical("right")), "h").where(enough).where(_is_reading("word", "right"))
+    both = listed.select("word", "right", "n", "n_right").unionByName(rest.select("word", "right", "n", "n_right")).where((F.length("word") >= 3) | ~F.col("word").rlike("[ -~í]$") | F.col("word").rlike("[†0-9]"))
     best = both.groupBy("word", "n").agg(F.max(F.struct("n_right", "right")).alias("b"))
     return best.select("word", "b.right", "n", "b.n_right")
 

@@ -175,6 +175,22 @@ def test_scan_traces(spark):
     assert scan_noise.find_traces(df.limit(0), "id", "text", "title", "publisher").count() == 0
 
 
+@pytest.mark.parametrize(("word", "right"), [("clearecl", "cleared"), ("clisclose", "disclose"), ("collatcral", "collateral"), ("inclucling", "including"), ("clclivery", "delivery"), ("illumínatíng", "illuminating")])
+def test_no_subset_of_places_is_left_out(spark, word, right):
+    counts = spark.createDataFrame([(word, 2), (right, 400), ("llllllllll", 500)], "word string, n long")
+    assert [(r.word, r.right) for r in scan_noise.corrections(counts).collect()] == [(word, right)]
+
+
+def test_canonical_form_is_shared_by_all_readings():
+    assert all(a.translate(scan_noise.CANON) == b.translate(scan_noise.CANON) for a, b in scan_noise.LATIN)
+    r = random.Random(5)
+    for _ in range(300):
+        word, other = ("".join(r.choice("elihmrnIO0†a1") for _ in range(r.randint(2, 5))) for _ in "ab")
+        if not scan_noise.many_readings(word):
+            listed = {x for _, x in scan_noise.readings(word)}
+            assert all(scan_noise.is_reading(word, x) for x in listed) and scan_noise.is_reading(word, other) == (other in listed)
+
+
 # --- problems 8 and 9 --------------------------------------------------------------------------------------------
 
 
