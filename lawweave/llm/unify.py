@@ -16,7 +16,7 @@ import unicodedata
 from functools import lru_cache
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 from pyspark.sql.types import BinaryType, StringType, StructField, StructType
@@ -38,6 +38,9 @@ IGNORABLE = [(0xAD, 0xAD), (0x34F, 0x34F), (0x61C, 0x61C), (0x115F, 0x1160), (0x
 # Signs whose compatibility form is another sign to the eye.
 RAISED = ("<super>", "<sub>", "<circle>", "<square>", "<fraction>")
 
+#: A spelling with more rows is dealt over several tasks.
+HOT_ROWS = 10_000
+
 _PRIVATE = 0xF0000
 _TRAIL = re.compile(r" +(?=\n|\Z)")
 _PRIVATE_SIGN = re.compile("[\U000f0000-\U000fffff]")
@@ -129,22 +132,34 @@ def unify_columns(df: DataFrame, *columns: str, suffix: str = "_unified") -> Dat
     return df.select("*", *(unify(F.col(c)).alias(c + suffix) for c in columns))
 
 
-def look_alike_pairs(df: DataFrame, id: str, title: str, text: str) -> DataFrame:
+def look_alike_pairs(df: DataFrame, id: str, title: str, text: str, hot: int = HOT_ROWS) -> DataFrame:
     """Pairs (a < b) of rows whose title and text look the same but are not the same characters.
 
     Rows with a null title, or a null or empty text, make no pair; repeated ids count once.
-    Only digests are shuffled.  Groups with a single spelling drop out before the join, so a
-    large group of exact copies costs one row per copy and emits nothing.
+    Only digests are shuffled.  The distinct spellings of a group are paired first and their rows joined
+    to the pairs, so that only rows of different spellings meet; a spelling of more than ``hot`` rows is
+    salted by the id, and the other side of its pairs repeated per salt.
     """
     k = (
         df.where(F.col(title).isNotNull() & F.col(text).isNotNull() & (F.col(text) != "") & F.col(id).isNotNull())
         .select(F.col(id).alias("id"), _keys(F.col(title), F.col(text)).alias("k"))
         .select("id", "k.*")
         .distinct()
+        .persist()
     )
-    spellings = k.groupBy("folded", "seen", "raw").agg(F.lit(1).alias("one")).groupBy("folded", "seen").count()
-    several = spellings.where("count > 1").select("folded", "seen")
-    k = k.join(several, ["folded", "seen"], "left_semi")
-    a, b = (k.select(*(F.col(c).alias(c + s) for c in k.columns)) for s in "ab")
-    hit: Column = (F.col("foldeda") == F.col("foldedb")) & (F.col("seena") == F.col("seenb")) & (F.col("ida") < F.col("idb")) & (F.col("rawa") != F.col("rawb"))
-    return a.join(b, hit).select(F.col("ida").alias(f"{id}_a"), F.col("idb").alias(f"{id}_b")).distinct()
+    spellings = k.groupBy("folded", "seen", "raw").agg(F.ceil(F.count("*") / hot).cast("int").alias("salts"))
+    several = spellings.groupBy("folded", "seen").count().where("count > 1").select("folded", "seen")
+    spellings = spellings.join(several, ["folded", "seen"], "left_semi").persist()  # few: those of look-alikes
+    a, b = (spellings.select(*(F.col(c).alias(c + s) for c in spellings.columns)) for s in "ab")
+    pairs = a.join(b, (F.col("foldeda") == F.col("foldedb")) & (F.col("seena") == F.col("seenb")) & (F.col("rawa") < F.col("rawb")))
+    # Both sides of each pair of spellings, once per salt of the side's own; joined with the rows of the spelling.
+    sides = pairs.select("rawa", "rawb", F.explode(F.array(*(F.struct(F.lit(s).alias("side"), F.col("raw" + s).alias("raw"), F.col("salts" + s).alias("own"), F.col("salts" + o).alias("other")) for s, o in ("ab", "ba")))).alias("s"))
+    sides = sides.select("rawa", "rawb", "s.*").withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("own") - 1))).drop("own")
+    salted = spellings.where("salts > 1").select("raw", "salts")
+    rows = k.join(F.broadcast(salted), "raw", "left")  # at most one row per ``hot`` rows of the table
+    rows = rows.select("id", "raw", F.pmod(F.xxhash64("id"), F.coalesce("salts", F.lit(1))).cast("int").alias("salt"))
+    met = rows.join(sides, ["raw", "salt"]).withColumn("there", F.explode(F.sequence(F.lit(0), F.col("other") - 1))).persist()
+    left = met.where("side = 'a'").select("rawa", "rawb", F.col("salt").alias("i"), F.col("there").alias("j"), F.col("id").alias("ida"))
+    right = met.where("side = 'b'").select("rawa", "rawb", F.col("there").alias("i"), F.col("salt").alias("j"), F.col("id").alias("idb"))
+    hit = left.join(right, ["rawa", "rawb", "i", "j"]).where(F.col("ida") != F.col("idb"))
+    return hit.select(F.least("ida", "idb").alias(f"{id}_a"), F.greatest("ida", "idb").alias(f"{id}_b")).distinct()

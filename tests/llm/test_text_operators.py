@@ -47,6 +47,18 @@ def test_look_alike_pairs(spark):
     assert {r[0] for r in out} == {None, ""}
 
 
+def test_copies_of_one_spelling_never_meet(spark):
+    rows = [(f"c{i:04}", "标题", "收益互换") for i in range(3000)] + [("d1", "标题", "收益​互换"), ("b1", "标题", "收益　互换"), ("b2", "标题", "收益 互换"), ("b3", "标题", "收益　互换")]
+    df = spark.createDataFrame(rows, "clause_id string, title string, text string")
+    want = {tuple(sorted((x, "d1"))) for x, *_ in rows if x[0] == "c"} | {("b1", "b2"), ("b2", "b3")}
+    for hot in (7, unify.HOT_ROWS):
+        pairs = unify.look_alike_pairs(df, "clause_id", "title", "text", hot)
+        got = [tuple(r) for r in pairs.collect()]
+        assert len(got) == len(set(got)) and set(got) == want
+    plan = pairs._jdf.queryExecution().optimizedPlan().toString()
+    assert not any("Join" in x and "NOT (raw" in x for x in plan.split("\n"))
+
+
 # --- problem 7 ---------------------------------------------------------------------------------------------------
 
 
