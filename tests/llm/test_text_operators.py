@@ -99,6 +99,19 @@ def test_repeated_lines(spark):
     assert repeated_lines.repeated_lines(df.limit(0), "source_id", "doc_id", "text").count() == 0
 
 
+def test_rule_decides_on_skewed_sources(spark):
+    rows = [("a", f"a{i}", f"甲文{i * 'x'}\n" + ("请勿外传" if i < 60 else "")) for i in range(300)] + [("b", f"b{i}", f"乙文{i * 'y'}") for i in range(3)]
+    rows += [("c", f"c{i}", "共同页脚" if i < 4 else f"丙文{i * 'z'}") for i in range(40)]
+    df = spark.createDataFrame(rows[:303], "source_id string, doc_id string, text string")
+    assert [(r.line, r.docs) for r in repeated_lines.repeated_lines(df, "source_id", "doc_id", "text", least_docs=4, least_share=0.1).collect()] == [("请勿外传", 60)]
+    assert [r.line for r in repeated_lines.repeated_lines(df, "source_id", "doc_id", "text").collect()] == ["请勿外传"]
+    df = spark.createDataFrame(rows, "source_id string, doc_id string, text string")
+    got = {(r.source_id, r.line) for r in repeated_lines.repeated_lines(df, "source_id", "doc_id", "text", least_docs=4, least_share=0.1).collect()}
+    assert got == {("a", "请勿外传"), ("c", "共同页脚")}
+    found = {r.line for r in repeated_lines.repeated_lines(df, "source_id", "doc_id", "text").collect()}  # no line of a single document
+    assert found <= {"请勿外传", "共同页脚"} and "请勿外传" in found
+
+
 # --- problem 2 ---------------------------------------------------------------------------------------------------
 
 
