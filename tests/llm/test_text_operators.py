@@ -136,6 +136,22 @@ def test_restore_encoding(spark):
     assert mojibake.restore_encoding(df.limit(0), "id", "text").count() == 0
 
 
+def test_signs_of_all_rows_are_usual(spark):
+    rows = [(i, RULE) for i in range(400)] + [(1000 + i, "经办人：玲瑞继启倡函。") for i in range(8)] + [(9999, "经办人" + mojibake.misread("玲瑞继启倡函", "utf-8", "cp1252") + "。")]
+    df = spark.createDataFrame(rows, "id long, text string")
+    sample = {r[0] for r in mojibake.bounded_sample(df, "id", 20, "text")}
+    assert not sample & set(range(1000, 1010))
+    model = mojibake.fit_model(df, "id", "text", 20)
+    assert set("玲瑞继启倡函") <= model.usual
+    assert mojibake.repair(model, [rows[-1][1]]) == [("经办人玲瑞继启倡函。", 1)]
+
+
+def test_pairs_are_fitted_on_every_given_text():
+    model = mojibake.fit([RULE] * 2500 + ["玲瑞继启倡函"] * 500)
+    at = {int(o): i for i, o in enumerate(model.signs)}
+    assert all(ord(c) in at for c in mojibake.misread("玲瑞继启倡函", "utf-8", "gb18030"))
+
+
 # --- problem 6 ---------------------------------------------------------------------------------------------------
 
 
