@@ -65,7 +65,7 @@ _ODD = re.compile(rf"(?=([{_HAN}0-9]{_signs([x for x in _SEEN if x != '．'])}[{
 _LATIN_WORD = re.compile(r"[A-Za-z0-9†í]{2,40}")
 _MIXED = re.compile(r"(?<![A-Za-z0-9])(?=[0-9lOIS]*\d)(?=[0-9lOIS]*[lOIS])[0-9lOIS]{2,}(?![A-Za-z0-9])")
 _MIXED_HINT = re.compile("[0-9][lOIS]|[lOIS][0-9]")
-_HYPHEN = re.compile(r"([A-Za-z†í0-9]{2,})[-‐¬­][ \t　]*$")
+_HYPHEN = re.compile(r"([A-Za-z†í0-9]{2,}|(?<![A-Za-z†í0-9])[A-Za-z†í])[-‐¬­][ \t　]*$")
 _PAGE = re.compile(r"^(?:第\s*[\dlO]+\s*页(?:\s*共\s*[\dlO]+\s*页)?|[-–—－·]\s*[\dlO]{1,4}\s*[-–—－·]|\[[\dlO]{1,4}\]|[\dlO]{1,4}\s*/\s*[\dlO]{1,4}|Page\s+[\dlO]+\s+of\s+[\dlO]+|P\.\s*[\dlO]{1,4}|-\s?[\dlO]+\s?-|[ivxlc]{1,6}|[IVX]{1,6}|\d{1,3})$")
 _NUMBERED = re.compile(r"^\d{1,3}[\t ]+|[\t ]{2,}\d{1,3}$")
 _PAPER = re.compile(rf"^[{_HAN}]{{4,24}}(?:文件|公报\s*\d+\s*期)$")
@@ -214,7 +214,8 @@ def _body(text: str, edges: dict[int, str]) -> list[str]:
 def _joined(body: list[str], attested: set[str] | None = None) -> tuple[str, list[tuple[str, str, str, str]], bool]:
     """The lines as paragraphs; hyphenated breaks (left, sign, right, word), joined for now; whether Chinese lines were joined.
 
-    Chinese lines are joined where the break is sure or its two signs are ``attested`` (None: all are).
+    Chinese lines are joined where the break is sure or its two signs are ``attested`` (None: all are); a single
+    letter before a plain hyphen where the joined word is.
     """
     out: list[str] = []
     breaks, han = [], False
@@ -223,7 +224,7 @@ def _joined(body: list[str], attested: set[str] | None = None) -> tuple[str, lis
         prev = out[-1] if out else ""
         m = _HYPHEN.search(prev)
         nxt = re.match(r"[A-Za-z†í0-9]+", s)
-        if m and nxt and not _START.match(s):
+        if m and nxt and not _START.match(s) and (len(m[1]) > 1 or prev[m.end(1)] != "-" or attested is None or (m[1] + nxt[0]).lower() in attested):
             breaks.append((m[1], prev[m.end(1)], nxt[0], m[1] + nxt[0]))
             out[-1] = prev[: m.end(1)] + s
         elif prev and not _END.search(prev) and not _START.match(s) and re.match("[a-z†í0-9]", s) and re.search("[A-Za-z†,0-9’”]$", prev) and " " in prev:
@@ -361,9 +362,8 @@ def corrections(counts: DataFrame, least: int = LEAST, ratio: int = RATIO) -> Da
 
 
 def attested_words(counts: DataFrame, least: int = LEAST, share: float = SHARE) -> DataFrame:
-    """Latin words that stand often enough, and pairs of Chinese signs of which the first is followed by the second in a fair share of cases."""
-    often = counts.where(F.col("n") >= least)
-    latin = often.where(F.col("word").rlike("^[A-Za-z]{4,}$")).select("word")
+    """Latin words, in lower case, that stand often enough in any case, and pairs of Chinese signs of which the first is followed by the second in a fair share of cases."""
+    latin = counts.where(F.col("word").rlike("^[A-Za-z]{2,}$")).groupBy(F.lower("word").alias("word")).agg(F.sum("n").alias("n")).where(F.col("n") >= least).select("word")
     pairs = counts.where(F.col("word").startswith(" ")).select(F.substring("word", 2, 2).alias("word"), "n")
     firsts = pairs.groupBy(F.substring("word", 1, 1).alias("first")).agg(F.sum("n").alias("all"))
     tied = pairs.join(F.broadcast(firsts), F.substring("word", 1, 1) == F.col("first"))  # a row per Chinese sign
@@ -385,7 +385,7 @@ def _evidence(texts: list[str | None], titles: list, publishers: list) -> Iterat
             if not sure:
                 flat, breaks, _ = _joined(body)
                 sure = any(sign in "¬­" for _, sign, _, _ in breaks)
-                joins = [w for *_, w in breaks] + pairs
+                joins = [w.lower() for *_, w in breaks] + pairs
         sure = sure or bool(_MIXED_HINT.search(flat) and _MIXED.search(flat))
         odd = [] if sure else [*dict.fromkeys(_ODD.findall(flat)), *dict.fromkeys(w for w in _LATIN_WORD.findall(flat) if _latin_odd(w))]
         yield sure, odd, joins
@@ -447,7 +447,7 @@ def repair(df: DataFrame, id: str, text: str, title: str, publisher: str) -> Dat
                 body = _body(t, edge_lines(t, ti, pu))
                 flat, breaks, _ = _joined(body)
                 odd = [*dict.fromkeys(_ODD.findall(flat)), *dict.fromkeys(w for w in _LATIN_WORD.findall(flat) if _latin_odd(w))]
-                joins = [w for *_, w in breaks] + wraps(body)[1]
+                joins = [w.lower() for *_, w in breaks] + wraps(body)[1]
                 ids += [i] * (len(odd) + len(joins))
                 words += odd + joins
                 kinds += ["fix"] * len(odd) + ["join"] * len(joins)
@@ -473,10 +473,10 @@ def _repaired(t: str | None, title: str | None, publisher: str | None, fixes: li
     fix = {f["word"]: f["right"] for f in fixes or [] if f["kind"] == "fix"}
     ok = {f["word"] for f in fixes or [] if f["kind"] == "join"}
     flat, breaks, han = _joined(body, ok)
-    if not (edges or han or fix or _MIXED.search(flat) or any(sign != "-" or w in ok or w in fix for _, sign, _, w in breaks)):
+    if not (edges or han or fix or _MIXED.search(flat) or any(sign != "-" or w.lower() in ok or w in fix for _, sign, _, w in breaks)):
         return t
     for left, sign, r, word in breaks:  # an unattested word at a plain hyphen keeps it: a compound
-        if sign == "-" and word not in ok and word not in fix:
+        if sign == "-" and word.lower() not in ok and word not in fix:
             flat = flat.replace(word, f"{left}-{r}", 1)
     flat = _MIXED.sub(lambda m: m[0].translate(str.maketrans("lIOS", "1105")), flat)
     flat = _LATIN_WORD.sub(lambda m: fix.get(m[0], m[0]), flat)

@@ -232,6 +232,17 @@ def test_canonical_form_is_shared_by_all_readings():
             assert all(scan_noise.is_reading(word, x) for x in listed) and scan_noise.is_reading(word, other) == (other in listed)
 
 
+def test_short_words_and_other_cases_are_evidence(spark):
+    rows = [(f"k{i}", "The ETF and the TAPI of the Irs desk.") for i in range(20)]
+    breaks = {"a": ("units of the ET-\nF are listed", "ETF"), "b": ("units of the E-\nTF are listed", "ETF"), "c": ("see the A-\nPI here", None), "d": ("swaps by IR-\nS are", "IRS"), "e": ("the T-\nAPI is", "TAPI")}
+    df = spark.createDataFrame([(*r, "t", "p") for r in [*rows, *((k, t) for k, (t, _) in breaks.items())]], "id string, text string, title string, publisher string")
+    found = {r.id for r in scan_noise.find_traces(df, "id", "text", "title", "publisher").collect()}
+    assert found == {k for k, (_, w) in breaks.items() if w}
+    fixed = {r.id: r.text for r in scan_noise.repair(df, "id", "text", "title", "publisher").collect()}
+    for k, (t, w) in breaks.items():
+        assert fixed[k] == t if w is None else f" {w} " in fixed[k] and "-" not in fixed[k]
+
+
 # --- problems 8 and 9 --------------------------------------------------------------------------------------------
 
 
