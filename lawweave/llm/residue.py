@@ -45,13 +45,16 @@ TRUSTED = (
 )
 
 _HEAD = re.compile(r"^\s*(?:第[一二三四五六七八九十百零〇0-9]{1,8}条|Article \d+|（[一二三四五六七八九十]+）|\(\d+\))[\s　]*")
-# A run of signs around a name, as template languages write their slots; or an empty value a program left.
-_WORD = r"[A-Za-z_一-鿿][A-Za-z_.一-鿿]{0,23}"
+# A run of signs around a name, as template languages write their slots, up to the closing sign in the same line; or
+# an empty value a program left.
+_WORD = r"[A-Za-z_一-鿿][A-Za-z_.一-鿿]*?"
 _MARK = re.compile(
-    r"\{\{[^{}\n]{1,30}\}\}|\$\{[^{}\n]{1,30}\}|#\{[^{}\n]{1,30}\}|\{%[^{}%\n]{1,30}%\}|\[\[[^\[\]\n]{1,30}\]\]|<%[^<>\n]{1,30}%>|"
-    rf"(?<![0-9])%{_WORD}%|__{_WORD}?[A-Za-z一-鿿]__|\{{[^{{}}\n]{{1,30}}\}}|"
+    r"\{\{[^{}\n]+\}\}|\$\{[^{}\n]+\}|#\{[^{}\n]+\}|\{%[^{}%\n]+%\}|\[\[[^\[\]\n]+\]\]|<%[^<>\n]+%>|"
+    rf"(?<![0-9])%{_WORD}%|(?<!_)__(?:{_WORD})?[A-Za-z一-鿿]__|\{{[^{{}}\n]+\}}|"
     r"(?<![A-Za-z])(?:NaN|null|None|undefined|\[object Object\]|#REF!|#N/A|#VALUE!)(?![A-Za-z])|X{2,}"
 )
+# What a slot does with its name, such as a default.
+_FILTER = re.compile(r"\s*\|[^{}\n]*?(?=\s*\})")
 _EMPTY = re.compile(r"NaN|null|None|undefined|\[object Object\]|#\S+!|#N/A|X+")
 _REPEAT = re.compile(r"([一-鿿A-Za-z]{2,6})\1{4,}")
 _NAME = re.compile(r"[^\W_]+(?:[._ -]?[^\W_]+)*")
@@ -67,7 +70,7 @@ def passages(text: str) -> list[tuple[str, ...]]:
     for m in _MARK.finditer(body):
         before, after = body[max(0, m.start() - 1) : m.start()], body[m.end() : m.end() + 1]
         mark = m.group()
-        shape = mark if _EMPTY.fullmatch(mark) else _NAME.sub(lambda m: "0" if m.group().isdigit() else "w", mark)
+        shape = mark if _EMPTY.fullmatch(mark) else _NAME.sub(lambda m: "0" if m.group().isdigit() else "w", _FILTER.sub("", mark))
         kind = "inside" if _wordy(before) or _wordy(after) else "alone" if not before.strip() and not after.strip() else "beside"
         quoted = "quoted" if body.count("“", 0, m.start()) > body.count("”", 0, m.start()) else "open"
         out.append((f"{quoted} {shape}", f"{quoted} {shape} {kind}"))

@@ -167,6 +167,11 @@ def test_residue(spark):
     assert residue.score_records(df.limit(0), "id", "text").count() == 0
 
 
+@pytest.mark.parametrize(("slot", "short"), [("{{regulatory_document.metadata.effective_date}}", "{{w}}"), ("{{ title | default('一个很长很长的默认标题值') }}", "{{ w }}"), ("${" + "regulatory_document_" * 3 + "date}", "${w}"), ("%REGULATORY_DOCUMENT_EFFECTIVE_DATE%", "%w%"), ("{" + "x" * 40 + "}", "{w}"), ("[[" + "x" * 40 + "]]", "[[w]]")])
+def test_long_slots_are_passages(slot, short):
+    assert residue.passages(f"证券公司应当{slot}报送交易明细。")[0] == (f"open {short}", f"open {short} inside")
+
+
 # --- problem 4 ---------------------------------------------------------------------------------------------------
 
 
