@@ -20,8 +20,7 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
+from pyspark.sql.types import ArrayType, BooleanType, IntegerType, StringType, StructField, StructType
 
 from lawweave.llm.common import category_class, tokenizer_dir
 
@@ -32,12 +31,20 @@ SPACE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 
 
 @lru_cache(maxsize=None)
-def piece_pattern() -> re.Pattern:
-    """The published split before merges: contractions, letters, numbers, other signs, white space."""
-    letter, number = category_class("L"), category_class("N")
+def piece_pattern(basic: bool = False) -> re.Pattern:
+    """The published split before merges: contractions, letters, numbers, other signs, white space.
+
+    ``basic``: for texts without characters beyond the basic plane; the same split by shorter character classes.
+    """
+    letter, number = category_class("L", basic), category_class("N", basic)
     return re.compile(f"'(?:s|t|re|ve|m|ll|d)| ?[{letter}]+| ?[{number}]+| ?[^{SPACE}{letter}{number}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+")
 
 
+def split_pieces(text: str) -> list[str]:
+    """The pieces of the published split; none of their tokens reaches over an end of a piece."""
+    return piece_pattern(len(text.encode("utf-16-le", "surrogatepass")) == 2 * len(text)).findall(text)
+
+
 class BytePairs:
     """One byte-level vocabulary given as ranks: encodes and decodes."""
 
@@ -100,7 +107,7 @@ class BytePairs:
 
     def encode_packed(self, text: str) -> bytes:
         memory, out = self.memory, []
-        for p in piece_pattern().findall(text):
+        for p in split_pieces(text):
             ids = memory.get(p)
             if ids is None:
                 ids = self.piece(p)
@@ -116,18 +123,23 @@ class BytePairs:
         """Ids of one piece of the tokenizer's own split."""
         return np.frombuffer(self.memory.get(piece) or self.piece(piece), np.int32).tolist()
 
-    def count_pieces(self, pieces: list[str]) -> int:
-        """Tokens of pieces of the tokenizer's own split."""
+    def count_each(self, pieces: list[str]) -> np.ndarray:
+        """Tokens of each piece of the tokenizer's own split."""
         counts = self.counts
         try:
-            return sum(map(counts.__getitem__, pieces))
+            return np.fromiter(map(counts.__getitem__, pieces), np.int64, len(pieces))
         except KeyError:
+            if len(counts) >= 2 * MEMORY:
+                counts.clear()
+            extra = {}
             for p in pieces:
                 if p not in counts:
-                    if len(counts) >= 2 * MEMORY:
-                        counts.clear()
-                    counts[p] = len(self.piece(p)) // 4
-            return sum(counts[p] if p in counts else len(self.piece(p)) // 4 for p in pieces)
+                    (counts if len(p) <= 64 else extra)[p] = len(self.piece(p)) // 4
+            return np.fromiter((counts[p] if p in counts else extra[p] for p in pieces), np.int64, len(pieces))
+
+    def count_pieces(self, pieces: list[str]) -> int:
+        """Tokens of pieces of the tokenizer's own split, together."""
+        return int(self.count_each(pieces).sum())
 
     def encode(self, text: str | None) -> list[int]:
         return np.frombuffer(self.encode_packed(text or ""), np.int32).tolist()
@@ -169,7 +181,13 @@ def decode_corpus(df: DataFrame, id: str, ids: str = "ids", tokenizer: str = "by
     return df.select(id, ids).mapInArrow(run, StructType([df.schema[id], StructField("text", StringType())]))
 
 
-def round_trip(df: DataFrame, id: str, text: str, **kw: str) -> DataFrame:
-    """Per row whether decoding its ids gives the text again (a null text counts as empty)."""
-    e = decode_corpus(encode_corpus(df, id, text, **kw), id, **kw).withColumnRenamed("text", "again")
-    return df.select(id, text).join(e, id).select(id, (F.coalesce(F.col(text), F.lit("")) == F.col("again")).alias("same"))
+def round_trip(df: DataFrame, id: str, text: str, tokenizer: str = "byte_bpe_50k", folder: str | None = None) -> DataFrame:
+    """Per row whether decoding its ids gives the text again (a null text counts as empty).  Narrow."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        v = vocabulary(tokenizer, folder)
+        for b in batches:
+            same = [v.decode(v.encode(t)) == (t or "") for t in b.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(same, pa.bool_())], names=[id, "same"])
+
+    return df.select(id, text).mapInArrow(run, StructType([df.schema[id], StructField("same", BooleanType())]))

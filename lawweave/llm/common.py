@@ -9,6 +9,7 @@ import unicodedata
 from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from lawweave.session import table
 
@@ -18,11 +19,11 @@ def clauses(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
     return table(spark, sf_dir, "clauses", *columns)
 
 
-def char_class(test) -> str:
-    """The body of a regex character class with all code points for which ``test(char)`` holds."""
+def char_class(test, last: int = sys.maxunicode) -> str:
+    """The body of a regex character class with all code points up to ``last`` for which ``test(char)`` holds."""
     out, start = [], None
-    for o in range(sys.maxunicode + 2):
-        hit = o <= sys.maxunicode and not 0xD800 <= o <= 0xDFFF and test(chr(o))
+    for o in range(last + 2):
+        hit = o <= last and not 0xD800 <= o <= 0xDFFF and test(chr(o))
         if hit and start is None:
             start = o
         elif not hit and start is not None:
@@ -32,9 +33,9 @@ def char_class(test) -> str:
 
 
 @lru_cache(maxsize=None)
-def category_class(prefix: str) -> str:
-    """Character class of a Unicode category, e.g. ``L`` or ``N``."""
-    return char_class(lambda c: unicodedata.category(c).startswith(prefix))
+def category_class(prefix: str, basic: bool = False) -> str:
+    """Character class of a Unicode category, e.g. ``L`` or ``N``; ``basic``: only its signs of the basic plane."""
+    return char_class(lambda c: unicodedata.category(c).startswith(prefix), 0xFFFF if basic else sys.maxunicode)
 
 
 def tokenizer_dir(path: str | None = None) -> str:
@@ -50,15 +51,14 @@ def tokenizer_dir(path: str | None = None) -> str:
 
 
 def bounded_sample(df: DataFrame, id: str, bound: int, *columns: str) -> list:
-    """About ``bound`` rows, at most, chosen by a hash of the id: the same rows on every run and any partitioning.
+    """At most ``bound`` rows with the smallest hashes of the id: the same rows on every run and any partitioning."""
+    return hash_sample(df, id, bound, df.count(), *columns)
 
-    Two passes: a count, then a filter on the hash, so that no task sends more than its share.
-    """
-    from pyspark.sql import functions as F
 
-    n = df.count()
+def hash_sample(df: DataFrame, id: str, bound: int, n: int, *columns: str) -> list:
+    """The same where the number of rows ``n`` is known.  A filter on the hash keeps each task to its share of the sample."""
     if not n:
         return []
-    keep = min(1.0, bound / n)
     h = F.pmod(F.xxhash64(id, F.lit(7)), F.lit(1 << 30))
-    return df.where(h < int(keep * (1 << 30)) + 1).select(id, *columns).limit(bound).collect()
+    keep = min(1.0, 1.2 * (bound + 50) / n)
+    return df.where(h <= int(keep * (1 << 30))).select(id, *columns).orderBy(F.xxhash64(id, F.lit(7)), id, *columns).limit(bound).collect()

@@ -40,16 +40,33 @@ def counter(name: str, folder: str | None = None) -> Callable[[str], int]:
 
 
 @lru_cache(maxsize=None)
-def many_counter(name: str, folder: str | None = None) -> Callable[[list[str]], list[int]]:
-    """The same for a list of texts; in one call where the library takes lists."""
+def token_ends(name: str, folder: str | None = None) -> Callable[[str], np.ndarray]:
+    """A function text -> the place after each of its tokens, in characters."""
     base = os.path.join(tokenizer_dir(folder), name)
-    if os.path.exists(base + ".model") and not os.path.exists(base + ".tiktoken"):
-        import sentencepiece
+    if not os.path.exists(base + ".model"):
+        from tokenizers import Tokenizer
 
-        sp = sentencepiece.SentencePieceProcessor(model_file=base + ".model")
-        return lambda texts: list(map(len, sp.encode(texts, num_threads=1)))
-    one = counter(name, folder)
-    return lambda texts: list(map(one, texts))
+        tk = Tokenizer.from_file(base + ".json")
+        tk.encode_special_tokens = True
+        return lambda t: np.maximum.accumulate(np.array([e for _, e in tk.encode(t, add_special_tokens=False).offsets] or [0], np.int64))
+    import sentencepiece
+
+    sp = sentencepiece.SentencePieceProcessor(model_file=base + ".model")
+    # A token stands for as many characters as its string has; of byte tokens the first byte of a character counts.
+    chars = np.array([len(p) if not sp.is_byte(k) else int((int(p[3:5], 16) & 0xC0) != 0x80) for k in range(sp.get_piece_size()) for p in [sp.id_to_piece(k)]], np.int64)
+
+    def lengths(t: str) -> np.ndarray:
+        return np.cumsum(chars[np.array(sp.encode(t), np.int64)]) - 1  # a mark stands before the first character
+
+    blocks = ["".join(map(chr, range(o, o + 64))) for o in range(32, 0xFFC0, 64) if not 0xD7C0 < o < 0xE000]
+    as_is = all(int(lengths(b)[-1]) == len(b) for b in ("a  b", *blocks))  # the model leaves every character as it is
+
+    def ends(t: str) -> np.ndarray:
+        if as_is:
+            return lengths(t)
+        return np.maximum.accumulate(np.array([p.end for p in sp.encode(t, out_type="immutable_proto").pieces], np.int64))
+
+    return ends
 
 
 @lru_cache(maxsize=None)

@@ -7,9 +7,11 @@ left are pieces whose ends are the strongest boundaries of the text.  Every piec
 with the last ``overlap`` tokens of the text before it (up to three tokens more where that place would
 lie inside a sign).
 
-Sizes are tokens of a public tokenizer.  For byte-level BPE the segments end where the tokenizer's own
-split ends, so sizes add up exactly; other tokenizers are counted again per piece, and a piece that
-turned out too large is cut once more.  Texts within the limit, empty and null texts give no rows.
+Sizes are tokens of a public tokenizer.  A text is encoded once, and the places where its tokens end
+give the size of every stretch.  For byte-level BPE the segments end where the tokenizer's own split
+ends, so sizes add up exactly; pieces of other tokenizers are counted again as far as the cut can change
+them, and a piece that turned out too large is cut once more.  Texts within the limit, empty and null
+texts give no rows.
 """
 
 from __future__ import annotations
@@ -17,22 +19,24 @@ from __future__ import annotations
 import heapq
 import os
 import re
-from bisect import bisect_left, bisect_right
+from bisect import bisect_right
 from collections.abc import Iterator
-from itertools import accumulate
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
-from lawweave.llm.bpe import BytePairs, piece_pattern, vocabulary
+from lawweave.llm.bpe import BytePairs, split_pieces, vocabulary
 from lawweave.llm.common import tokenizer_dir
 from lawweave.llm.packing import limits
-from lawweave.llm.sizes import counter, crossings, many_counter
+from lawweave.llm.sizes import counter, crossings, token_ends
 
 #: Tokens kept free besides the overlap: its place may have to move by a part of a sign.
 SLACK = 3
+#: Tokens kept free for the mark some tokenizers set at a text's beginning.
+MARK = 2
 _HEADS = re.compile(r"[ \t　]*(?:第[一二三四五六七八九十百零〇0-9]{1,8}[章编节条]|Chapter\s|Article\s|CHAPTER\s|附件|附录)")
 # Strength of the boundary after a sign.
 STRENGTH = {c: 3 for c in "。！？!?…"} | {c: 2 for c in "；;：:"} | {c: 1 for c in "，,、 \t　"}
@@ -101,33 +105,152 @@ def sentences(text: str) -> list[tuple[int, int]]:
     return out
 
 
-def _bpe_segments(v: BytePairs, text: str, most: int, ends: list[tuple[int, int]]) -> tuple[list[tuple[int, int, int]], list[list[str] | None]]:
-    """(end, size, strength) of the atomic segments - lines, the sentences of a line that is too large, and so on - and their pieces."""
+class Ruler:
+    """One text measured by one tokenizer: the places where its units end, and the tokens up to each of them.
+
+    Units are the pieces of the tokenizer's own split (byte-level BPE) or its tokens (all others).  Every later
+    question about sizes is a look-up here, so that a text is taken apart once for all limits.
+    """
+
+    def __init__(self, text: str, ends: np.ndarray, counts: np.ndarray):
+        self.text, self.ends = text, ends
+        self.before = np.zeros(len(ends) + 1, np.int64)
+        np.cumsum(counts, out=self.before[1:])
+        self.total = int(self.before[-1])
+
+    def upto(self, places: np.ndarray) -> np.ndarray:
+        """Tokens that end at or before each place."""
+        return self.before[self.ends.searchsorted(places, "right")]
+
+    def at(self, place: int) -> int:
+        """The same for one place."""
+        return int(self.before[self.ends.searchsorted(place, "right")])
+
+    def units(self, a: int, b: int) -> list[tuple[int, int]]:
+        """(end, tokens) of the units after ``a`` up to ``b``; units that end at one place are one."""
+        lo, hi = np.searchsorted(self.ends, (a, b), "right")
+        ends = self.ends[lo:hi]
+        last = np.flatnonzero(np.append(ends[1:] != ends[:-1], True)) if len(ends) else np.zeros(0, np.int64)
+        return list(zip(ends[last].tolist(), np.diff(self.before[lo + 1 + last], prepend=self.before[lo]).tolist(), strict=True))
+
+    def long_unit(self, end: int, length: int, most: int) -> list[tuple[int, int, int]]:
+        """A unit that is larger than ``most`` by itself, in parts."""
+        return [(end, most, 0)]
+
+
+class BpeRuler(Ruler):
+    def __init__(self, v: BytePairs, text: str):
+        pieces = split_pieces(text)
+        super().__init__(text, np.cumsum(np.fromiter(map(len, pieces), np.int64, len(pieces))), v.count_each(pieces))
+        self.v = v
+
+    def long_unit(self, end: int, length: int, most: int) -> list[tuple[int, int, int]]:
+        return _cut_long(self.v, self.text[end - length : end], end - length, most)
+
+    def is_end(self, place: int) -> bool:
+        k = self.ends.searchsorted(place)
+        return place == 0 or (k < len(self.ends) and self.ends[k] == place)
+
+    def size(self, start: int, end: int) -> int:
+        """Tokens of ``text[start:end]`` as a text of its own (at most those it has inside the whole text)."""
+        if self.is_end(start) and self.is_end(end):
+            return self.at(end) - self.at(start)
+        return len(self.v.encode_packed(self.text[start:end])) // 4
+
+    def overlap(self, core: int, wanted: int) -> tuple[int, int]:
+        """(place, tokens): the latest sign's beginning with at least ``wanted`` tokens up to ``core``, and their number as a text of their own."""
+        if not self.is_end(core):
+            return self._search(core, wanted)
+        k = int(self.ends.searchsorted(core)) + 1
+        here = int(self.before[k])
+        if here <= wanted:
+            return 0, here
+        j = int(self.before.searchsorted(here - wanted, "right")) - 1
+        at, left, skip = int(self.ends[j - 1]) if j else 0, here - int(self.before[j]), here - wanted - int(self.before[j])
+        return (at, left) if not skip else self._inside(self.text[at : int(self.ends[j])], int(self.before[j + 1] - self.before[j]), at, left, skip)
+
+    def _inside(self, p: str, n: int, at: int, left: int, skip: int) -> tuple[int, int]:
+        """The place after ``skip`` of the ``n`` tokens of the piece at ``at``, with ``left`` tokens from there to the core."""
+        v = self.v
+        need = n - skip  # a sign has at least one token, so the piece's last signs are enough
+        m = min(len(p), need + 2)
+        if m < len(p) and (p[-m - 1].encode("utf-8", "replace")[-1:] + p[-m].encode("utf-8", "replace")[:1]) in v.inside:
+            m = len(p)
+        tail = p[-m:]
+        raw = tail.encode("utf-8", "replace")
+        cut = exact = len(raw) - sum(len(v.strings[t]) for t in v.piece_ids(tail)[-need:])
+        while cut > 0 and raw[cut] & 0xC0 == 0x80:
+            cut -= 1
+        inside = len(p) - m + len(raw[:cut].decode("utf-8", "replace"))
+        if cut == exact and (cut == 0 or raw[cut - 1 : cut + 1] not in v.inside):  # no token reaches over this place
+            return at + inside, left - skip
+        return at + inside, left - n + v.count_pieces([p[inside:]])
+
+    def _search(self, core: int, wanted: int) -> tuple[int, int]:
+        """For a core that begins inside a unit: by halving, within a reach that is widened until it is enough."""
+        def count(a: int) -> int:
+            return len(self.v.encode_packed(self.text[a:core])) // 4
+
+        reach = 2 * wanted + 16
+        while reach < core and count(core - reach) <= wanted:
+            reach *= 4
+        lo, hi = max(0, core - reach), core
+        while hi - lo > 1:
+            mid = (lo + hi) // 2
+            lo, hi = (mid, hi) if count(mid) >= wanted else (lo, mid)
+        return lo, count(lo)
+
+
+class TokenRuler(Ruler):
+    """For tokenizers whose pieces by themselves may have other tokens than inside the text: those are counted again."""
+
+    def __init__(self, name: str, folder: str | None, text: str):
+        ends = token_ends(name, folder)(text)
+        super().__init__(text, ends, np.ones(len(ends), np.int64))
+        self.count, self.crossed = counter(name, folder), crossings(name, folder)
+
+    def _apart(self, place: int) -> bool:
+        """Whether no token can reach over a place."""
+        return place >= len(self.text) or self.text[place - 1 : place + 1].replace(" ", "▁") not in self.crossed
+
+    def size(self, start: int, end: int) -> int:
+        if self.crossed is None or not self._apart(end):
+            return self.count(self.text[start:end])
+        if not start:
+            return self.at(end)
+        k = int(self.ends.searchsorted(start, "right"))
+        for place in self.ends[k : k + 64].tolist():
+            if place >= end:
+                break
+            if self._apart(place):  # only what stands before this place can change by the cut
+                return self.count(self.text[start:place]) + self.at(end) - self.at(place)
+        return self.count(self.text[start:end])
+
+    def overlap(self, core: int, wanted: int) -> tuple[int, int]:
+        here = self.at(core)
+        j = here - wanted
+        while j > 0 and self.at(int(self.ends[j - 1])) > here - wanted:
+            j -= 1
+        place = int(self.ends[j - 1]) if j > 0 else 0
+        return place, self.count(self.text[place:core])
+
+
+def _segments(ruler: Ruler, ends: list[tuple[int, int]], most: int) -> list[tuple[int, int, int]]:
+    """(end, size, strength) of the atomic segments: lines; the sentences of a line that is too large; their clauses, words or signs."""
     out: list[tuple[int, int, int]] = []
-    kept: list[list[str] | None] = []
-    at, pieces = 0, piece_pattern().findall
-    for end, s in ends:
-        n = _size_in_place(v, found := pieces(text, at, end), text, end)
+    text, at = ruler.text, 0
+    sizes = np.diff(ruler.upto(np.fromiter((e for e, _ in ends), np.int64, len(ends))), prepend=0).tolist()
+    for (end, s), n in zip(ends, sizes, strict=True):
         if n <= most:
             out.append((end, n, s))
-            kept.append(found)
         else:
-            start, inner = at, sentences(text[at:end])
-            for stop, t in inner:
-                stop, t = at + stop, s if at + stop == end else t
-                n = _size_in_place(v, found := pieces(text, start, stop), text, stop)
-                new = [(stop, n, t)] if n <= most else _bpe_parts(v, text, start, stop, t, most)
-                out += new
-                kept += [found] if n <= most else [None] * len(new)
+            inner = [(at + e, s if at + e == end else t) for e, t in sentences(text[at:end])]
+            start = at
+            for (stop, t), k in zip(inner, np.diff(ruler.upto(np.array([at, *(e for e, _ in inner)]))).tolist(), strict=True):
+                out += [(stop, k, t)] if k <= most else _parts(ruler, start, stop, t, most)
                 start = stop
         at = end
-    return out, kept
-
-
-def _size_in_place(v: BytePairs, found: list[str], text: str, end: int) -> int:
-    if end < len(text) and len(w := found[-1]) > 1 and w.isspace() and not text[end].isspace():
-        found[-1:] = [w[:-1], w[-1]]  # the split depends on what follows the white space
-    return v.count_pieces(found)
+    return out
 
 
 def gathered(segments: list[tuple[int, int, int]], most: int) -> list[tuple[int, int, int]]:
@@ -150,35 +273,39 @@ def gathered(segments: list[tuple[int, int, int]], most: int) -> list[tuple[int,
     return segments
 
 
-def _bpe_parts(v: BytePairs, text: str, start: int, stop: int, s_last: int, most: int) -> list[tuple[int, int, int]]:
-    """The same for one sentence that is too large: its clauses, words, or stretches of signs."""
+def _parts(ruler: Ruler, start: int, stop: int, s_last: int, most: int) -> list[tuple[int, int, int]]:
+    """A sentence that is too large by itself: its clauses, words, or stretches of signs."""
     out: list[tuple[int, int, int]] = []
     inner: list[tuple[int, int, int]] = []
-    for m in piece_pattern().finditer(text, start, stop):
-        p, at = m.group(), m.end()
-        n = v.count_pieces([p])
+    text, before = ruler.text, start
+    units = ruler.units(start, stop)
+    if not units or units[-1][0] != stop:
+        units.append((stop, 0))
+    for at, n in units:
         if n > most:
-            out += (_merge_weak(inner, most) if inner else []) + _cut_long(v, p, at - len(p), most)
+            out += (_merge_weak(inner, most) if inner else []) + ruler.long_unit(at, at - before, most)
             inner = []
-            continue
-        last = p[-1]
-        inner.append((at, n, s_last if at == stop else strength(text, at) if last in STRENGTH or last.isspace() or last == "." else 0))
+        else:
+            last = text[at - 1]
+            inner.append((at, n, s_last if at == stop else strength(text, at) if last in STRENGTH or last.isspace() or last == "." else 0))
+        before = at
     return out + (_merge_weak(inner, most) if inner else [])
 
 
-def _merge_weak(inner: list[tuple[int, int, int]], most: int) -> list[tuple[int, int, int]]:
-    """A sentence that is too large by itself: its clauses, or its words where a clause is too large."""
-    for least in (2, 1, 0):
-        out, size = [], 0
-        for end, n, s in inner:
-            size += n
-            if s >= least:
-                out.append((end, size, s))
-                size = 0
-        if size:
-            out.append((inner[-1][0], size, inner[-1][2]))
-        if all(n <= most for _, n, _ in out):
-            return out
+def _merge_weak(inner: list[tuple[int, int, int]], most: int, level: int = 2) -> list[tuple[int, int, int]]:
+    """Units of a sentence that is too large, joined into its clauses; into words where a clause alone is too large.
+
+    Where there is no boundary at all, units are joined up to a quarter of the limit, so that the heap sees few of them.
+    """
+    out: list[tuple[int, int, int]] = []
+    run: list[tuple[int, int, int]] = []
+    size = 0
+    for k, x in enumerate(inner):
+        run.append(x)
+        size += x[1]
+        if k + 1 == len(inner) or (x[2] >= level if level else size + inner[k + 1][1] > most // 4):
+            out += [(x[0], size, x[2])] if size <= most else _merge_weak(run, most, level - 1) if level else run
+            run, size = [], 0
     return out
 
 
@@ -202,40 +329,8 @@ def _cut_long(v: BytePairs, piece: str, start: int, most: int) -> list[tuple[int
     return out
 
 
-def _counted_segments(count, many, text: str, most: int, ends: list[tuple[int, int]]) -> list[tuple[int, int, int]]:
-    """The same for any other tokenizer: each line is counted by itself, behind a line end and without it.
-
-    So a mark that a tokenizer sets at a text's beginning does not count once per line.
-    """
-    lead = count("\n")
-    out: list[tuple[int, int, int]] = []
-
-    def sized(ends: list[tuple[int, int]], start: int) -> Iterator[tuple[int, int, int, int]]:
-        starts = [start, *(e for e, _ in ends[:-1])]
-        sizes = many(["\n" + text[a:b] for a, (b, _) in zip(starts, ends, strict=True)])
-        return ((a, b, n - lead, s) for a, (b, s), n in zip(starts, ends, sizes, strict=True))
-
-    for a, b, n, s in sized(ends, 0):
-        if n <= most:
-            out.append((b, n, s))
-            continue
-        for c, d, k, t in sized([(a + e, s if a + e == b else t) for e, t in sentences(text[a:b])], a):
-            out += [(d, k, t)] if k <= most else _small(lambda x: count("\n" + x) - lead, text, c, d, t, most)
-    return out
-
-
-def _small(count, text: str, a: int, b: int, s: int, most: int) -> list[tuple[int, int, int]]:
-    n = count(text[a:b])
-    if n <= most or b - a <= 1:
-        return [(b, n, s)]
-    middle = (a + b) // 2
-    best = max(range(a + 1, b), key=lambda i: (STRENGTH.get(text[i - 1], 0) if not text[i].isspace() else 0, -abs(i - middle))) if b - a < 4000 else middle
-    return _small(count, text, a, best, STRENGTH.get(text[best - 1], 0), most) + _small(count, text, best, b, s, most)
-
-
-def merge(segments: list[tuple[int, int, int]], capacity: int, overlap: int) -> list[tuple[int, int]]:
-    """(end, size) of the pieces: adjacent segments merged, weakest boundary first, smallest sum first among equals."""
-    most = capacity - (overlap + SLACK if overlap else 0)
+def merge(segments: list[tuple[int, int, int]], most: int) -> list[int]:
+    """Ends of the pieces: adjacent segments merged up to ``most``, weakest boundary first, smallest sum first among equals."""
     segments = gathered(segments, most)
     n = len(segments)
     size = [s for _, s, _ in segments]
@@ -257,93 +352,7 @@ def merge(segments: list[tuple[int, int, int]], capacity: int, overlap: int) ->
             heapq.heappush(heap, (segments[last[a]][2], total + size[nxt], a, nxt))
         if a > 0 and size[p := first[a - 1]] + total <= most:
             heapq.heappush(heap, (segments[a - 1][2], size[p] + total, p, a))
-    return [(segments[last[i]][0], size[i]) for i in range(n) if not gone[i]]
-
-
-class Overlap:
-    """Finds where the last tokens before an end of a segment begin, from the segments' sizes."""
-
-    def __init__(self, v: BytePairs | None, count, text: str, segments: list[tuple[int, int, int]], pieces: list[list[str] | None] | None = None, crossed: frozenset[str] | None = None):
-        self.v, self.count, self.text, self.pieces, self.crossed = v, count, text, pieces, crossed
-        self.ends = [0, *(e for e, _, _ in segments)]
-        self.before = [0, *accumulate(n for _, n, _ in segments)]  # tokens before each end
-
-    def size(self, start: int, end: int) -> int:
-        """Tokens of a text of whole segments: the sum of its segments' sizes where no token can reach over their ends, else counted."""
-        i, k = bisect_left(self.ends, start), bisect_left(self.ends, end)
-        text = self.text
-        if self.crossed is None or self.ends[i] != start or k >= len(self.ends) or self.ends[k] != end or any(text[e - 1 : e + 1].replace(" ", "▁") in self.crossed for e in self.ends[i + 1 : k]):
-            return self.count(text[start:end])
-        first = self.ends[i + 1]
-        return self.count(text[start:first]) + self.before[k] - self.before[i + 1]
-
-    def start(self, core: int, overlap: int) -> tuple[int, int]:
-        """(place, tokens): the latest sign's beginning with at least ``overlap`` tokens up to ``core``, and their number as a text of their own."""
-        text, v = self.text, self.v
-        k = bisect_left(self.ends, core)
-        if v is None or self.ends[k] != core:
-            return self._search(core, overlap)
-        left, at, i = 0, core, k - 1
-        while i >= 0 and (found := self.pieces[i]) is not None:
-            for p in reversed(found):
-                n = v.counts.get(p) or v.count_pieces([p])
-                left, at = left + n, at - len(p)
-                if left >= overlap:
-                    return self._inside(p, n, at, left, left - overlap)
-            i -= 1
-        if i < 0:
-            return 0, left
-        for reach in (2 * overlap // 3 + 8, 2 * overlap + 16, 6 * overlap + 64, core):
-            at = self._safe(core - reach)
-            found = piece_pattern().findall(text, at, core)
-            counts = [v.counts.get(p) or v.count_pieces([p]) for p in found]
-            left = sum(counts)
-            if left >= overlap or not at:
-                break
-        skip = left - overlap
-        if skip <= 0:
-            return at, left
-        for p, n in zip(found, counts, strict=True):
-            if skip < n:
-                return self._inside(p, n, at, left, skip)
-            skip, left = skip - n, left - n
-            at += len(p)
-        return core, 0
-
-    def _inside(self, p: str, n: int, at: int, left: int, skip: int) -> tuple[int, int]:
-        """The place after ``skip`` of the ``n`` tokens of the piece at ``at``, with ``left`` tokens from there to the core."""
-        v = self.v
-        need = n - skip  # a sign has at least one token, so the piece's last signs are enough
-        m = min(len(p), need + 2)
-        if m < len(p) and (p[-m - 1].encode("utf-8", "replace")[-1:] + p[-m].encode("utf-8", "replace")[:1]) in v.inside:
-            m = len(p)
-        tail = p[-m:]
-        raw = tail.encode("utf-8", "replace")
-        cut = exact = len(raw) - sum(len(v.strings[t]) for t in v.piece_ids(tail)[-need:])
-        while cut > 0 and raw[cut] & 0xC0 == 0x80:
-            cut -= 1
-        inside = len(p) - m + len(raw[:cut].decode("utf-8", "replace"))
-        if cut == exact and (cut == 0 or raw[cut - 1 : cut + 1] not in v.inside):  # no token reaches over this place
-            return at + inside, left - skip
-        return at + inside, left - n + v.count_pieces([p[inside:]])
-
-    def _safe(self, at: int) -> int:
-        """The nearest place from ``at`` back where the tokenizer's own split certainly has an end."""
-        text = self.text
-        while at > 0 and not ((text[at - 1] in "，。；：、！？" and text[at].isalnum()) or (text[at] == " " and not text[at - 1].isspace() and text[at + 1 : at + 2].isalpha())):
-            at -= 1
-        return max(at, 0)
-
-    def _search(self, core: int, overlap: int) -> tuple[int, int]:
-        lo, hi = 0, core
-        for reach in (2 * overlap + 16, 12 * overlap + 64):
-            if core > reach and self.count(self.text[core - reach : core]) > overlap:
-                lo = core - reach
-                break
-        while hi - lo > 1:
-            mid = (lo + hi) // 2
-            lo, hi = (mid, hi) if self.count(self.text[mid:core]) >= overlap else (lo, mid)
-        return lo, self.count(self.text[lo:core])
+    return [segments[last[i]][0] for i in range(n) if not gone[i]]
 
 
 def split(text: str, tokenizer: str, capacity: int, overlap: int, folder: str | None = None) -> list[tuple[int, int, int, int]]:
@@ -354,56 +363,47 @@ def split(text: str, tokenizer: str, capacity: int, overlap: int, folder: str |
     return split_all(text, tokenizer, [(capacity, overlap)], folder)[0]
 
 
+def ruler(text: str, tokenizer: str, folder: str | None = None) -> Ruler:
+    if os.path.exists(os.path.join(tokenizer_dir(folder), f"{tokenizer}.tiktoken")):
+        return BpeRuler(vocabulary(tokenizer, folder), text)
+    return TokenRuler(tokenizer, folder, text)
+
+
 def split_all(text: str, tokenizer: str, todo: list[tuple[int, int]], folder: str | None = None, ends: list[tuple[int, int]] | None = None) -> list[list[tuple[int, int, int, int]]]:
     """``split`` for several (capacity, overlap) of one tokenizer: the text is cut into segments and counted once.
 
     ``ends``: the text's ``lines``, where the caller has them.
     """
-    ends = lines(text) if ends is None else ends
-    bpe = os.path.exists(os.path.join(tokenizer_dir(folder), f"{tokenizer}.tiktoken"))
-    count = counter(tokenizer, folder)
-    v = vocabulary(tokenizer, folder) if bpe else None
-    if bpe and len(text) * 4 <= min(c for c, _ in todo):  # a sign has at most four bytes
-        return [[] for _ in todo]
-    most = min(c - (o + SLACK if o else 0) for c, o in todo)
-    if most < 1:
+    room = [c - (o + SLACK if o else 0) - MARK for c, o in todo]
+    if min(room) < 1:
         raise ValueError("the overlap leaves no room in a piece")
-    if bpe:
-        segments, pieces = _bpe_segments(v, text, most, ends)
-        total = sum(n for _, n, _ in segments)
-    elif len(text) * 4 + 4 <= min(c for c, _ in todo):  # at most four byte tokens a sign, and a mark at the beginning
+    if len(text) * (1 if text.isascii() else 4) + MARK <= min(c for c, _ in todo):  # a byte has at most one token
+        return [[] for _ in todo]
+    r = ruler(text, tokenizer, folder)
+    if r.total <= min(c for c, _ in todo):
         return [[] for _ in todo]
-    else:
-        most -= 2  # the mark at a piece's beginning
-        if most < 1:
-            raise ValueError("the limit leaves no room in a piece")
-        segments = _counted_segments(count, many_counter(tokenizer, folder), text, most, ends)
-        total = sum(n for _, n, _ in segments)
-        if any(0.9 * c - 4 <= total <= 1.1 * c + 4 for c, _ in todo):  # near a limit the exact size decides
-            total = count(text)
+    segments = _segments(r, lines(text) if ends is None else ends, min(room))
     result = []
-    back = Overlap(v, count, text, segments, pieces if bpe else None, None if bpe else crossings(tokenizer, folder))
-    for capacity, overlap in todo:
+    for (capacity, overlap), most in zip(todo, room, strict=True):
         out: list[tuple[int, int, int, int]] = []
         core = 0
-        for end, size in merge(segments, capacity - (0 if bpe else 2), overlap) if total > capacity else ():
-            out += _checked(back, core, end, size, capacity, overlap, bool(out))
+        for end in merge(segments, most) if r.total > capacity else ():
+            out += _checked(r, core, end, capacity, overlap, bool(out))
             core = end
         result.append(out)
     return result
 
 
-def _checked(back: Overlap, core: int, end: int, size: int, capacity: int, overlap: int, later: bool) -> list[tuple[int, int, int, int]]:
-    """The piece with its overlap; two or more where it is too large after all."""
-    start, extra = back.start(core, overlap) if overlap and later else (core, 0)
+def _checked(r: Ruler, core: int, end: int, capacity: int, overlap: int, later: bool) -> list[tuple[int, int, int, int]]:
+    """The piece with its overlap; two or more where it is too large by itself after all."""
+    start, extra = r.overlap(core, overlap) if overlap and later else (core, 0)
     # With byte-level BPE the core begins where the tokenizer's own split does, so the two sizes add up.
-    whole = size + extra if back.v else back.size(start, end)
+    whole = r.size(core, end) + extra if isinstance(r, BpeRuler) and r.is_end(core) else r.size(start, end)
     if whole <= capacity or end - core <= 1:
         return [(start, core, end, whole)]
     middle = (core + end) // 2
-    cut = max(range(core + 1, end), key=lambda i: (strength(back.text, i), -abs(i - middle)))
-    left = _checked(back, core, cut, back.count(back.text[core:cut]), capacity, overlap, later)
-    return left + _checked(back, cut, end, back.count(back.text[cut:end]), capacity, overlap, True)
+    cut = max(range(core + 1, end), key=lambda i: (strength(r.text, i), -abs(i - middle)))
+    return _checked(r, core, cut, capacity, overlap, later) + _checked(r, cut, end, capacity, overlap, True)
 
 
 def split_documents(docs: DataFrame, id: str, text: str, size_limits: DataFrame, folder: str | None = None) -> DataFrame:

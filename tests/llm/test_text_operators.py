@@ -266,6 +266,42 @@ def test_histogram_packing(capacity):
         assert seen == hist and max(room.values()) <= capacity and sorted(room) == list(range(len(room)))
 
 
+def test_shortest_pack_first():
+    rows = {r[0]: r for r in packing.pack_histogram({7: 1, 5: 1, 3: 1, 2: 1}, 10)}
+    assert rows[3][3] == rows[5][3] != rows[7][3]  # 3 joins the pack with the most room, not the fullest one
+
+
+def brute_shortest_pack_first(hist, capacity):
+    packs = []
+    for length in sorted(hist, reverse=True):
+        for _ in range(hist[length]):
+            k = min(range(len(packs)), key=packs.__getitem__, default=None)
+            if k is None or packs[k] + length > capacity:
+                packs.append(length)
+            else:
+                packs[k] += length
+    return sorted(packs)
+
+
+@pytest.mark.parametrize("capacity", [10, 60])
+def test_patterns_equal_item_by_item(capacity):
+    r = random.Random(capacity)
+    for _ in range(60):
+        hist = {r.randint(1, capacity): r.randint(1, 30) for _ in range(r.randint(1, 9))}
+        fill: dict[int, int] = {}
+        for length, _, n, first, per in packing.pack_histogram(hist, capacity):
+            for c in range(first, first + n // per):
+                fill[c] = fill.get(c, 0) + per * length
+        assert sorted(fill.values()) == brute_shortest_pack_first(hist, capacity)
+
+
+def test_hot_length_is_ranked_in_parts(spark):
+    items = spark.range(1000).select("id", F.lit(0).alias("part"), F.lit(0).alias("start"), F.when(F.col("id") < 900, 5).otherwise(6).alias("size"))
+    got = packing.ranked(items, "id", {5: 900, 6: 100}, hot=100).collect()
+    for size, n in ((5, 900), (6, 100)):
+        assert sorted(r["rank"] for r in got if r["size"] == size) == list(range(n))
+
+
 def limits_df(spark, rows):
     return spark.createDataFrame(rows, "limit_id int, purpose string, tokenizer string, capacity int, overlap int")
 
@@ -307,6 +343,13 @@ def test_pieces(tokenizer, capacity, overlap):
     assert all(text[end - 1] == "\n" for _, _, end, _ in cut[:-1])
 
 
+@pytest.mark.parametrize("tokenizer", ["byte_bpe_50k", "piece_bpe_32k"])
+def test_long_line_is_cut_at_commas(tokenizer):
+    line = ("基金管理人应当按照合同约定及时披露有关信息内容，" * 450)[:10_000] + "。"
+    cut = splitting.split(line, tokenizer, 200, 0)
+    assert len(cut) > 40 and all(line[end - 1] in "，。" for *_, end, _ in cut)
+
+
 def test_split_documents(spark):
     df = spark.createDataFrame([(1, None, 0), (2, "", 0), (3, RULE * 10, 0), (4, "short", 0)], "doc_id long, text string, piece int")
     lim = limits_df(spark, [(1, "container", "byte_bpe_50k", 128, 0), (2, "piece", "byte_bpe_50k", 64, 8), (3, "piece", "piece_bpe_32k", 64, 0)])
