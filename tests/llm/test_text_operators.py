@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -167,9 +168,21 @@ def test_residue(spark):
     assert residue.score_records(df.limit(0), "id", "text").count() == 0
 
 
-@pytest.mark.parametrize(("slot", "short"), [("{{regulatory_document.metadata.effective_date}}", "{{w}}"), ("{{ title | default('一个很长很长的默认标题值') }}", "{{ w }}"), ("${" + "regulatory_document_" * 3 + "date}", "${w}"), ("%REGULATORY_DOCUMENT_EFFECTIVE_DATE%", "%w%"), ("{" + "x" * 40 + "}", "{w}"), ("[[" + "x" * 40 + "]]", "[[w]]")])
-def test_long_slots_are_passages(slot, short):
-    assert residue.passages(f"证券公司应当{slot}报送交易明细。")[0] == (f"open {short}", f"open {short} inside")
+def test_residue_beyond_the_trusted_records():
+    """A message and a slot syntax that no trusted record holds are learned from what they share with trusted ones."""
+    trusted = ["请启用 JavaScript 后继续浏览本页内容。", "系统繁忙，请于 3 分钟后重试。错误代码：C1", "{{title}}\n{{content}}\n{{date}}", "抱歉，您访问的页面已被删除，5秒后自动返回。"] * 8
+    rest = [RULE.replace("十五", str(i)) for i in range(300)] + [f"报送文件应当按“{{机构代码}}_{i}.csv”的格式命名，" + RULE for i in range(20)]
+    new = ["抱歉，本页内容暂时无法浏览，请于 5 分钟后重试。"] * 3 + ["#{title}\n#{content}\n#{date}"] * 3
+    model = residue.fit(trusted, rest + new)
+    assert not any(re.search(residue.TRUSTED, t) for t in new)
+    assert all(model.is_residue(t) for t in (*new, "证券公司应当#{content}报送交易明细。" + RULE))
+    assert not any(model.is_residue(t) for t in rest)
+
+
+@pytest.mark.parametrize(("slot", "shape"), [("{{regulatory_document.metadata.effective_date}}", "{{w}}"), ("{{ title | default('一个很长很长的默认标题值') }}", "{{w}}"), ("${" + "regulatory_document_" * 3 + "date}", "${w}"), ("%REGULATORY_DOCUMENT_EFFECTIVE_DATE%", "%w%"), ("{" + "x" * 40 + "}", "{w}"), ("[[" + "x" * 40 + "]]", "[[w]]"), ("<%= title %>", "<%=w%>")])
+def test_long_slots_are_passages(slot, shape):
+    kind, features = residue.passages(f"证券公司应当{slot}报送交易明细。")[0]
+    assert kind == 1 and features[:2] == (f"s:{shape}", "s:inside")
 
 
 # --- problem 4 ---------------------------------------------------------------------------------------------------
