@@ -36,7 +36,7 @@ THRESHOLD = (3.0, 0.0, 0.0)
 WIDE = 12
 # What a trusted record holds.  Java regex, also valid in Python.
 TRUSTED = (
-    r"(?is)(enable javascript|启用 ?javascript|禁用了脚本|\bnot found\b|checking your browser|nullpointerexception|访问的页面|系统繁忙|正在加载|重新登录|验证失败|"
+    r"(?is)(enable javascript|启用 ?javascript|禁用了脚本|\bnot found\b|access denied|checking your browser|nullpointerexception|访问的页面|系统繁忙|正在加载|重新登录|验证失败|在线预览|"
     r"请求已被.{0,8}拦截|lorem ipsum|占位文本|在此输入|\[object object\]|^\W*([一-鿿]{2,6})\2{4,}\W*$|"
     r"^\W*(\{\{|\$\{|\[\[)[^\n]{0,60}(\}|\]\])\n|^\W*(undefined|null|none|nan)\b[^。]{0,20}$|经XX公司)"
 )
@@ -46,7 +46,8 @@ _OPEN, _CLOSE = r"[{}$#%<\[@~^=]", r"[{}$#%>\]@~^=]"
 #: A name between signs, whatever the signs: up to the closing ones in the same line.
 _SLOT = re.compile(rf"(?<![0-9]){_OPEN}{{1,3}}[ \t]*([A-Za-z_一-鿿][^{{}}$#%<>\[\]@~^=\n。；，]*?)[ \t]*{_CLOSE}{{1,3}}|(?<!_)__[A-Za-z_.一-鿿]*?__(?!_)")
 #: A Latin word (or value of a program) that touches Chinese or stands for itself in it.
-_PLACED = re.compile(r"(?:(?<=[一-鿿])[ ]?#?[A-Za-z]+(?:/[A-Za-z])?[!?]?)|(?:#?[A-Za-z]+(?:/[A-Za-z])?[!?]?[ ]?(?=[一-鿿]))")
+_EDGE = r"[^\s一-鿿，。；：、（）()“”0-9-]"
+_PLACED = re.compile(rf"(?<!{_EDGE})(?:(?<=[一-鿿])[ ]?#?[A-Za-z]+(?:/[A-Za-z])?[!?]?(?!{_EDGE}|[0-9])|(?<![0-9])#?[A-Za-z]+(?:/[A-Za-z])?[!?]?[ ]?(?=[一-鿿]))")
 _NAME = re.compile(r"[A-Za-z]+|[一-鿿]+|[0-9]+")
 _TOKEN = re.compile(r"[一-鿿㐀-䶿]+|[A-Za-zÀ-ɏ]*[0-9][A-Za-z0-9]*|[A-Za-zÀ-ɏ]+")
 _RUN = re.compile(r"([A-Za-z])\1+")
@@ -171,12 +172,14 @@ def fit(trusted: list[str], unlabelled: list[str], scale: float = 1.0, rounds: i
     flat = np.concatenate(rows) if rows else np.zeros(0, np.int64)
     owner = np.repeat(np.arange(len(rows)), sizes)
     part = np.minimum(1.0, WIDE / np.maximum(1, sizes))
+    stands = np.where(np.arange(len(rows)) < len(pos), 1.0, scale)  # for how many passages each one stands
     y = np.zeros(len(rows))
     y[: len(pos)] = 1.0
     v, w, prior = len(names), np.zeros(len(names)), np.zeros(KINDS)
     for _ in range(rounds):
-        up, down = np.bincount(flat, y[owner], v), np.bincount(flat, 1 - y[owner], v) * scale
-        n_up, n_down = np.bincount(kind, y, KINDS) + 1.0, np.bincount(kind, 1 - y, KINDS) * scale + 1.0
+        yes, no = y * stands, (1 - y) * stands
+        up, down = np.bincount(flat, yes[owner], v), np.bincount(flat, no[owner], v)
+        n_up, n_down = np.bincount(kind, yes, KINDS) + 1.0, np.bincount(kind, no, KINDS) + 1.0
         w = np.log((up + 0.1) / n_up[of]) - np.log((down + 0.5) / n_down[of])
         w[(up < 1.5) & (w > 0)] = 0.0
         prior = np.log(n_up / n_down)
