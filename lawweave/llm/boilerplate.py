@@ -2,13 +2,19 @@
 
 Method: gradient-boosted trees over node features and hierarchical decoding.  A flattened page is
 read as a tree: the page, its blocks (runs of lines between the lines of running text), their
-lines.  The features of a line node are its density, its attribute tokens, its depth in the block
-and statistics of its siblings and of its block.  Decoding chooses per block between "all page",
-"all text" and "mixed" by the sum of its lines' log-odds, so a block and its lines never contradict.
-
-The trees are fitted with Spark ML on a bounded sample (``SAMPLE`` records) whose lines are labelled
-by well-known page elements (``ELEMENTS``); the fitted trees are then applied to every line of every
-record, whole records at a time inside the tasks, without a shuffle.  Null and empty texts have no lines.
+sections (a line and the entries listed below it), their lines.  The features of a line node are its
+density, its attribute tokens, its depth in block and section, and statistics of its siblings, its
+section and its block.  Decoding goes up the tree: each node is all page, all text or mixed, whichever
+sums to the most log-odds, and passes its choice down, so no ancestor and descendant contradict.
+
+The trees are fitted with Spark ML on a bounded sample (``SAMPLE`` records).  A line is a positive
+example if it is a well-known page element (``ELEMENTS``), is listed below one, or if two other lines of
+its block are; a negative one if it is running text, stands in a record without any such element, or is
+repeated in such records; all other lines are left out of the fit.  What the trees know about a line's
+words are the weights of its attribute tokens, and those come only from lines that ANOTHER line of the
+block labelled, never from the words of the list itself.  The fitted trees are then applied to every
+line of every record, whole records at a time inside the tasks, without a shuffle.  Null and empty texts
+have no lines.
 """
 
 from __future__ import annotations
@@ -31,8 +37,12 @@ from lawweave.llm.common import bounded_sample
 
 #: Most records the trees are fitted on, and the boosting's size.
 SAMPLE, ROUNDS, DEPTH = 8_000, 20, 5
-#: What a mixed block has to gain over a uniform one, in log-odds.
+#: What a mixed node has to gain over a uniform one, in log-odds.
 MIXED = 1.5
+#: A line of running text with more signs has no attribute tokens.
+LONG = 60
+#: Partitions of the sample while the trees are fitted.
+FIT_PARTITIONS = 4
 # Words and phrases of page elements, by element.
 ELEMENTS = {
     "menu": "首页|人才招聘|Accessibility|RSS|WAP|登录|注册|退出|繁体|简体|English|招聘|党建|无障碍|行情|公告|法规制度|规则检索|下载中心|办事指南|互动交流|新闻动态|信息公开|专题专栏|市场服务|会员之家|投资者教育|机构概况|数据统计|网站地图|友情链接|Home|Search|Login|Careers|FAQ|Sitemap|About Us|Contact|News|Rules|Notices|Products|Clearing|Membership|Market Data|Investor Education",
@@ -49,9 +59,12 @@ _SPLIT = re.compile(r"[\s　|｜/·>»－—\-\[\]【】:：]+")
 _BODY = re.compile(r"[。；：;:.!?！？”）)]$")
 _START = re.compile(r"^\s*(?:第[一二三四五六七八九十百零〇0-9]+[条章节编]|Article \d|[（(][一二三四五六七八九十0-9]+[）)]|[一二三四五六七八九十]+、|Chapter|附件|附录)")
 _BULLET = re.compile(r"^\s*(?:[·>•▪*]|\d{1,2}[.、]\s?)")
+_CLAUSE = re.compile(r"[，。；]|[a-z], [a-z]|[a-z]\. ")
 _TEXT = re.compile(r"[，。；：]|^\d{4}年|^（此件")
 _DATE = re.compile(r"\d{2}-\d{2}$")
-_WORDS = re.compile(r"[A-Za-z]+|[一-鿿]{1,6}")
+_WORDS = re.compile(r"[A-Za-z]+|[一-鿿]{2,}")
+_SIGNS = re.compile(r"[|｜>»«·•▪☰©□↑【】：]|\d+-\d+$|^\d+\. ")
+_NAMED = re.compile(ELEMENTS["cookie"] + "|地址：|Copyright|版权所有")
 _SEPS, _DIGIT, _PUNCT = re.compile(r"[|｜/·>»－—　]|  | - "), re.compile("[0-9]"), re.compile("[。，；、,;]")
 CONTENT = 16  # content features of a line; context features follow
 
@@ -89,8 +102,13 @@ def content(s: str) -> tuple[float, ...]:
 
 @lru_cache(maxsize=100_000)
 def is_body(s: str) -> bool:
-    """A line of running text: long, or an article's or item's beginning, and with an end of sentence."""
-    return bool(_BODY.search(s)) and (len(s) > 24 or bool(_START.match(s)))
+    """A line of running text: long, or an article's or item's beginning, and with an end of sentence.
+
+    A closing bracket ends a sentence only where there is a clause before it; else it ends a title.
+    """
+    if not _BODY.search(s) or (s[-1] in "）)”" and not _CLAUSE.search(s)):
+        return False
+    return len(s) > 24 or bool(_START.match(s))
 
 
 def blocks(body: list[bool], starts: set[int]) -> list[int]:
@@ -108,31 +126,64 @@ def blocks(body: list[bool], starts: set[int]) -> list[int]:
     return out
 
 
-def weak_labels(lines: list[str]) -> list[int]:
-    """1 for lines of well-known page elements and the entries under a sidebar's heading, else 0."""
-    y, under = [], False
+def elements(lines: list[str]) -> list[int]:
+    """Per line: 2 for a sidebar's heading and 1 for any other well-known page element, 0 for all other lines."""
+    out = []
     for s in lines:
         toks = [t for t in _SPLIT.split(s) if t]
         menu = bool(toks) and all(_MENU.fullmatch(" ".join(toks)) or _MENU.fullmatch(t) for t in toks)
-        if _HEADING.match(s):
-            under, hit = True, 1
-        elif _SURE.search(s) and not is_body(s) or menu or (_SURE.search(s) and re.search(ELEMENTS["cookie"] + "|地址：|Copyright|版权所有", s) and not _START.match(s)):
-            under, hit = False, 1
-        elif under and not is_body(s) and not _START.match(s) and (_BULLET.match(s) or _DATE.search(s) or not _TEXT.search(s)):
-            hit = 1
-        else:
-            under, hit = False, 0
-        y.append(hit)
-    return y
+        sure = bool(_SURE.search(s)) and (not (is_body(s) or _START.match(s)) or bool(_NAMED.search(s)))
+        out.append(2 if _HEADING.match(s) else int(sure or menu))
+    return out
+
+
+def canonical(s: str) -> str:
+    return _DIGIT.sub("0", " ".join(s.split()))
+
+
+def weak_labels(pages: list[list[str]], own: bool = True) -> list[list[int]]:
+    """Per line 1 for page, 0 for text, -1 for unknown; without ``own`` by the other lines of its block and by its repetition only."""
+    found = [elements(p) for p in pages]
+    clean = Counter(canonical(s) for p, e in zip(pages, found, strict=True) if not any(e) for s in p)
+    out = []
+    for lines, known in zip(pages, found, strict=True):
+        if not any(known):
+            out.append([0] * len(lines))
+            continue
+        block = blocks([is_body(s) for s in lines], {0})
+        held = Counter(b for b, k in zip(block, known, strict=True) if k)
+        y, under = [], False
+        for s, b, k in zip(lines, block, known, strict=True):
+            body = is_body(s) or bool(_START.match(s))
+            under = k == 2 or (under and not k and not body)
+            if (body and not k) or clean[canonical(s)] > 1:
+                y.append(0)
+            elif (k and (own or held[b] > 1)) or (not k and (under or held[b] > 1)):
+                y.append(1)
+            else:
+                y.append(-1)
+        out.append(y)
+    return out
+
+
+def sections(lines: list[str], block: list[int]) -> list[int]:
+    """The section of each line: inside a block, a line that is no entry of a list begins a section."""
+    out, k = [], -1
+    for i, s in enumerate(lines):
+        if not i or block[i] != block[i - 1] or not (_BULLET.match(s) or _DATE.search(s) or "〔" in s or "Notice [" in s):
+            k += 1
+        out.append(k)
+    return out
 
 
 @dataclass
 class Nodes:
-    """The line nodes of several pages: features, their page, block and whether an article or item begins."""
+    """The line nodes of several pages: features, their page, block, section and whether an article or item begins."""
 
     x: np.ndarray
     page: np.ndarray
     block: np.ndarray
+    section: np.ndarray
     begins: np.ndarray
 
 
@@ -145,18 +196,15 @@ def nodes(pages: list[list[str]], weight: dict[str, float]) -> Nodes:
     start = np.concatenate([[0], np.cumsum(sizes)[:-1]])
     body = [is_body(s) for s in lines]
     c = np.array([content(s) for s in lines])
-    tok = np.array([_NONE if running else _tokens(s, weight) for s, running in zip(lines, body, strict=True)])
+    tok = np.array([_NONE if running and len(s) > LONG else _tokens(s, weight) for s, running in zip(lines, body, strict=True)])
     b = np.array(blocks(body, set(start.tolist())))
-    size = np.bincount(b)
-    first = np.concatenate([[0], np.cumsum(size)[:-1]])
-    depth = np.arange(n) - first[b]
-    mean_len = np.bincount(b, c[:, 0]) / size
-    mean_tok = np.bincount(b, tok[:, 0]) / size
-    top_tok = np.maximum.reduceat(tok[:, 1], first)
-    near = np.hstack([c[:, [0, 1, 2, 7]], tok[:, :2]])
-    before, after = np.vstack([np.zeros((1, 6)), near[:-1]]), np.vstack([near[1:], np.zeros((1, 6))])
+    sec = np.array(sections(lines, b.tolist()))
+    near = np.hstack([c[:, [0, 1, 2, 7, 8, 10, 11]], tok[:, :2]])
+    nil = np.zeros((1, near.shape[1]))
+    before, after = np.vstack([nil, near[:-1]]), np.vstack([near[1:], nil])
     before[start] = 0
     after[start + sizes - 1] = 0
+    inside = np.hstack([_within(b, c, tok), _within(sec, c, tok)])
     run = np.cumsum(body)
     body_ = np.array(body, float)
     base = run[start] - body_[start]
@@ -164,15 +212,30 @@ def nodes(pages: list[list[str]], weight: dict[str, float]) -> Nodes:
     seen = run - body_ - base[page]
     best = np.maximum.reduceat(tok[:, 1], start)
     whole = np.column_stack([sizes[page].astype(float), total[page] - seen - body_, seen, np.maximum(best, 0)[page]])
-    x = np.hstack([c, tok, before, after, np.column_stack([size[b], depth, size[b] - depth, mean_len[b], mean_tok[b], top_tok[b]]), whole])
-    return Nodes(x, page, b, (c[:, 8] > 0) & (body_ > 0))
+    x = np.hstack([c, tok, before, after, inside, whole])
+    return Nodes(x, page, b, sec, (c[:, 8] > 0) & (body_ > 0))
+
+
+def _within(group: np.ndarray, c: np.ndarray, tok: np.ndarray) -> np.ndarray:
+    """Per line, of the block or section it is in: size, depth in it and lines below, means of length, density, entries and tokens, best token."""
+    size = np.bincount(group)
+    first = np.concatenate([[0], np.cumsum(size)[:-1]])
+    depth = np.arange(len(group)) - first[group]
+    means = [(np.bincount(group, v) / size)[group] for v in (c[:, 0], c[:, 1], c[:, 7], c[:, 10], c[:, 11], tok[:, 0])]
+    return np.column_stack([size[group], depth, size[group] - depth, *means, np.maximum.reduceat(tok[:, 1], first)[group]])
 
 
 _NONE = (0.0, 0.0, 0.0)
 
 
+def attribute_tokens(s: str) -> list[str]:
+    """The distinct words of a line, Chinese ones as pairs of signs, and its signs by kind."""
+    words = (t for w in _WORDS.findall(s) for t in ([w.lower()] if w.isascii() else [w[i : i + 2] for i in range(len(w) - 1)]))
+    return list(dict.fromkeys([*words, *(f"§{'0' if m[0].isdigit() else m}" for m in _SIGNS.findall(s))]))
+
+
 def _tokens(s: str, weight: dict[str, float]) -> tuple[float, float, float]:
-    w = [weight.get(t, 0.0) for t in dict.fromkeys(_WORDS.findall(s))]
+    w = [weight.get(t, 0.0) for t in attribute_tokens(s)]
     return (sum(w) / len(w), max(w), min(w)) if w else _NONE
 
 
@@ -223,20 +286,20 @@ def token_weights(labelled: list[tuple[str, int]]) -> dict[str, float]:
     """Log-odds of the attribute tokens among labelled lines, smoothed."""
     up, down = Counter(), Counter()
     for s, y in labelled:
-        (up if y else down).update(set(_WORDS.findall(s)))
+        (up if y else down).update(attribute_tokens(s))
     n, m = sum(y for _, y in labelled) + 1, sum(1 - y for _, y in labelled) + 1
     return {t: float(np.log((up[t] + 0.3) / n) - np.log((down[t] + 0.3) / m)) for t in (up | down) if up[t] + down[t] >= 3}
 
 
 def fit(spark, texts: list[str]) -> Trees | None:
-    pages = [x for t in texts if len(x := strip_lines(t)[1]) > 1]
-    labelled = [(s, y) for p in pages for s, y in zip(p, weak_labels(p), strict=True)]
-    if len({y for _, y in labelled}) < 2:
+    pages = [x for t in texts if (x := strip_lines(t)[1])]
+    labels = [y for p in weak_labels(pages) for y in p]
+    if not {0, 1} <= set(labels):
         return None
-    weight = token_weights(labelled)
+    weight = token_weights([(s, y) for p, ys in zip(pages, weak_labels(pages, own=False), strict=True) for s, y in zip(p, ys, strict=True) if y >= 0])
     x = nodes(pages, weight).x
-    rows = [(float(y), Vectors.dense(r)) for (_, y), r in zip(labelled, x, strict=True)]
-    df = spark.createDataFrame(rows, ["label", "features"]).coalesce(1).cache()
+    rows = [(k, float(y), Vectors.dense(r)) for k, (y, r) in enumerate(zip(labels, x, strict=True)) if y >= 0]
+    df = spark.createDataFrame(rows, ["k", "label", "features"]).repartition(FIT_PARTITIONS, "k").sortWithinPartitions("k").cache()
     model = GBTClassifier(maxIter=ROUNDS, maxDepth=DEPTH, stepSize=0.2, seed=7, subsamplingRate=0.8).fit(df)
     df.unpersist()
     trees = [_flatten(t._call_java("rootNode")) for t in model.trees]
@@ -249,17 +312,24 @@ def fit_model(df: DataFrame, id: str, text: str, bound: int = SAMPLE) -> Trees |
 
 
 def decode(n: Nodes, margin: np.ndarray) -> np.ndarray:
-    """Per block the best of all-page, all-text and mixed; the lines follow their block."""
+    """Whether each line is page: from the lines up, every section and block takes the best of all page, all text and mixed; then down."""
     margin = np.where(n.begins, np.minimum(margin, -1.0), margin)  # an article or item is text
-    all_page = np.bincount(n.block, margin)
-    mixed = np.bincount(n.block, np.maximum(margin, 0)) - MIXED
-    return np.where((mixed > np.maximum(all_page, 0))[n.block], margin > 0, (all_page > 0)[n.block])
+    first = np.unique(n.section, return_index=True)[1]
+    above = n.block[first]  # the block of each section
+    page_s = np.bincount(n.section, margin)
+    mixed_s = np.bincount(n.section, np.maximum(margin, 0)) - MIXED
+    best_s = np.maximum(np.maximum(page_s, 0), mixed_s)
+    page_b = np.bincount(above, page_s)
+    mixed_b = np.bincount(above, best_s) - MIXED
+    uniform_b = mixed_b <= np.maximum(page_b, 0)
+    line = np.where((mixed_s > np.maximum(page_s, 0))[n.section], margin > 0, (page_s > 0)[n.section])
+    return np.where(uniform_b[n.block], (page_b > 0)[n.block], line)
 
 
 def find(model: Trees | None, texts: list[str | None]) -> list[list[int]]:
     """Line numbers of the page's lines, per text; all texts of a batch go through the trees at once."""
     out: list[list[int]] = [[] for _ in texts]
-    parts = [(i, *x) for i, t in enumerate(texts) if t and "\n" in t and len((x := strip_lines(t))[1]) > 1] if model else []
+    parts = [(i, *x) for i, t in enumerate(texts) if t and (x := strip_lines(t))[1]] if model else []
     if not parts:
         return out
     n = nodes([lines for _, _, lines in parts], model.weight)
