@@ -100,6 +100,16 @@ def test_repeated_lines(spark):
     assert repeated_lines.repeated_lines(df.limit(0), "source_id", "doc_id", "text").count() == 0
 
 
+def test_lines_of_all_sources_are_no_excess(spark):
+    """A line that all sources hold alike is rejected by the test, one that a single source repeats is not; the rule lists both."""
+    rows = [(s, f"{s}{i}", f"{s}文{'x' * i}\n" + ("各处都有的一行" if i % 4 == 0 else "") + ("\n本站提示" if s == "a" and i % 3 == 0 else "")) for s in "abc" for i in range(60)]
+    df = spark.createDataFrame(rows, "source_id string, doc_id string, text string")
+    assert {(r.source_id, r.line) for r in repeated_lines.repeated_lines(df, "source_id", "doc_id", "text").collect()} == {("a", "本站提示")}
+    ruled = repeated_lines.repeated_lines(df, "source_id", "doc_id", "text", least_docs=4, least_share=0.1).collect()
+    assert {(r.source_id, r.line) for r in ruled} == {("a", "本站提示"), *((s, "各处都有的一行") for s in "abc")}
+    assert all((r.g2 > 20) == (r.line == "本站提示") for r in ruled)
+
+
 def test_rule_decides_on_skewed_sources(spark):
     rows = [("a", f"a{i}", f"甲文{i * 'x'}\n" + ("请勿外传" if i < 60 else "")) for i in range(300)] + [("b", f"b{i}", f"乙文{i * 'y'}") for i in range(3)]
     rows += [("c", f"c{i}", "共同页脚" if i < 4 else f"丙文{i * 'z'}") for i in range(40)]
