@@ -59,13 +59,39 @@ def is_attachment(x: Column) -> Column:
     return F.contains(x["anchor"], F.lit("附件")) | F.lower(x["href"]).rlike(r"\.(pdf|docx?|xlsx?|zip|rar|wps)([?#]|$)")
 
 
-def looks_like_document(url: Column, anchor: Column, keywords: Column, pattern: str = r"/(content|detail|art|article|t20[0-9]{6})[/_-]|\.s?html?$") -> Column:
-    """PDF targets; any keyword in anchor or URL; without keywords an article-like URL."""
+# URLs of articles.
+ARTICLE_URL = r"(?i)(content\.shtml|/content_[0-9]+|/t[0-9]{8}_[0-9]+|\.html?$)"
+SUFFIXES = (".pdf", ".doc", ".docx", ".xls", ".xlsx")
+
+
+def looks_like_document(url: Column, anchor: Column, keywords: Column, pattern: str = ARTICLE_URL) -> Column:
+    """PDF targets; any keyword in anchor or URL; without keywords an article's URL."""
     none = F.coalesce(F.size(keywords) <= 0, F.lit(True))
-    both = F.concat_ws(" ", url, anchor)
+    both = F.concat_ws(" ", anchor, url)
     return F.coalesce(F.lower(url).endswith(".pdf") | F.exists(keywords, lambda k: (k != "") & F.contains(both, k)) | (none & url.rlike(pattern)), F.lit(False))
 
 
+def attachment_links(c: Column, suffixes: Sequence[str] = SUFFIXES) -> Column:
+    """Array of (ordinal, href, anchor) of a page's links to files, numbered from 1 among all its links."""
+    numbered = F.transform(links(c), lambda x, i: F.struct((i + 1).alias("ordinal"), x["href"].alias("href"), x["anchor"].alias("anchor")))
+    return F.filter(numbered, lambda x: F.lower(x["href"]).rlike("(" + "|".join(s.replace(".", r"\.") for s in suffixes) + ")$"))
+
+
+def label_pairs(c: Column) -> Column:
+    """Map of ``<em>label</em> value``; of a label that stands twice the last value counts."""
+    p = r"(?s)<em>(.*?)</em>\s*([^<]+)"
+    pairs = F.arrays_zip(F.transform(F.regexp_extract_all(c, F.lit(p), 1), lambda x: clean_space(x)).alias("label"), F.transform(F.regexp_extract_all(c, F.lit(p), 2), lambda x: clean_space(x)).alias("value"))
+    last = F.filter(pairs, lambda x, i: ~F.exists(F.slice(pairs, i + 2, F.size(pairs)), lambda y: y["label"] == x["label"]))
+    return F.map_from_entries(F.transform(last, lambda x: F.struct(x["label"], x["value"])))
+
+
+def script_links(c: Column) -> Column:
+    """Array of (name, link) of the ``name: '…', link: '…'`` pairs of a script; of a link that stands twice the first counts."""
+    p = r"name:\s*'([^']+)'\s*,\s*\n\s*link:\s*'([^']+)'"
+    pairs = F.arrays_zip(F.regexp_extract_all(c, F.lit(p), 1).alias("name"), F.regexp_extract_all(c, F.lit(p), 2).alias("link"))
+    return F.filter(pairs, lambda x, i: ~F.exists(F.slice(pairs, 1, i), lambda y: y["link"] == x["link"]))
+
+
 def delimited_records(c: Column, record: str = "@doc@", field: str = "@memo@", least: int = 4) -> Column:
     """Array of field arrays of a delimited listing: blank fields dropped, short records dropped."""
     rows = F.transform(F.split(c, record), lambda r: F.filter(F.transform(F.split(r, field), strip), lambda x: x != ""))

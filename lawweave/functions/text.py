@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import html.entities
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column
@@ -23,22 +25,53 @@ def strip(c: Column) -> Column:
     return F.regexp_replace(c, f"^[{WS}]+|[{WS}]+$", "")
 
 
-def clean_text(c: Column) -> Column:
-    """Line ends as ``\\n``, runs of space, tab and U+3000 as one space, at most one blank line in a row; null stays null."""
+def clean_text(c: Column, nbsp: bool = False) -> Column:
+    """Line ends as ``\\n``, runs of space, tab and U+3000 (``nbsp``: also U+00A0) as one space, at most one blank line in a row; null stays null."""
     c = F.regexp_replace(c, "\r\n?", "\n")
-    c = F.regexp_replace(c, "[ \t　]+", " ")
+    c = F.regexp_replace(c, "[ \t　\u00a0]+" if nbsp else "[ \t　]+", " ")
     return strip(F.regexp_replace(c, "\n{3,}", "\n\n"))
 
 
-# The named entities that occur in the sources' pages.
-ENTITIES = {"&nbsp;": "\u00a0", "&lt;": "<", "&gt;": ">", "&quot;": '"', "&#39;": "'", "&apos;": "'", "&ldquo;": "“", "&rdquo;": "”", "&mdash;": "—", "&middot;": "·", "&amp;": "&"}
+# The named entities of HTML, from Python's table; those that also count without a semicolon; and what the numbers
+# 128 to 159 mean on the web.
+NAMED = {k[:-1]: v for k, v in html.entities.html5.items() if k.endswith(";")}
+BARE = sorted((k for k in html.entities.html5 if not k.endswith(";")), key=len, reverse=True)
+WEB_NUMBERS = {i: c for i in range(128, 160) if (c := bytes([i]).decode("cp1252", "replace")) != "\ufffd"}
 
 
 def unescape(c: Column) -> Column:
-    """HTML entities of ``ENTITIES`` resolved; the ampersand last, so that nothing is resolved twice."""
-    for a, b in ENTITIES.items():
-        c = F.replace(c, F.lit(a), F.lit(b))
-    return c
+    """HTML entities resolved, named and numeric; one pass, so nothing is resolved twice.
+
+    Built-in expressions only: the text is cut at each ampersand, and what follows one is looked up.  A name that
+    is not known, or a number that names no character, stays or becomes U+FFFD as browsers have it.
+    """
+    # Each table is one literal that Spark folds into a map while it plans.
+    names = F.str_to_map(F.lit("\u0002".join(f"{k}\u0001{v}" for k, v in NAMED.items())), F.lit("\u0002"), F.lit("\u0001"))
+    web = F.str_to_map(F.lit("\u0002".join(f"{k}\u0001{v}" for k, v in WEB_NUMBERS.items())), F.lit("\u0002"), F.lit("\u0001"))
+    bare = "^(" + "|".join(map(re.escape, BARE)) + ")"
+
+    def sign(code: Column) -> Column:
+        known = F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
+        bad = code.isNull() | (code == 0) | (code > 0x10FFFF) | code.between(0xD800, 0xDFFF)
+        return F.when(bad, F.lit("\ufffd")).otherwise(F.coalesce(web[code.cast("string")], known))
+
+    def one(part: Column) -> Column:
+        digits = F.regexp_extract(part, "^#([0-9]+);?", 1)
+        hexes = F.regexp_extract(part, "^#[xX]([0-9a-fA-F]+);?", 1)
+        name = F.regexp_extract(part, "^([A-Za-z][A-Za-z0-9]*);", 1)
+        short = F.regexp_extract(part, bare, 1)
+        full = names[name]
+        return (
+            F.when(digits != "", F.concat(sign(F.when(F.length(digits) < 10, digits.cast("long"))), F.regexp_replace(part, "^#[0-9]+;?", "")))
+            .when(hexes != "", F.concat(sign(F.when(F.length(hexes) < 9, F.conv(hexes, 16, 10).cast("long"))), F.regexp_replace(part, "^#[xX][0-9a-fA-F]+;?", "")))
+            .when(full.isNotNull(), F.concat(full, F.substring(part, F.length(name) + 2, F.length(part))))
+            .when(short != "", F.concat(names[short], F.substring(part, F.length(short) + 1, F.length(part))))
+            .otherwise(F.concat(F.lit("&"), part))
+        )
+
+    parts = F.split(c, "&")
+    resolved = F.concat(F.get(parts, 0), F.array_join(F.transform(F.slice(parts, 2, F.size(parts)), one), ""))
+    return F.when(F.contains(c, F.lit("&")), resolved).otherwise(c)
 
 
 def clean_space(c: Column, breaks: bool = False, trim_lines: bool = True, entities: bool = True) -> Column:
@@ -68,15 +101,29 @@ def first_line(c: Column, bad_prefixes: Sequence[str] = (), limit: int = 160) ->
     return F.when(c.isNotNull(), F.coalesce(F.substring(F.get(lines, 0), 1, limit), F.lit("")))
 
 
+# A date of this century, with the months and days a calendar can have; the loose one of imported files.
+DATE = r"(20[0-9]{2})[-年./](0?[1-9]|1[0-2])[-月./](3[01]|[12][0-9]|0?[1-9])"
+LOOSE_DATE = r"(20[0-9]{2})\s*(?:年|-|/)\s*([0-9]{1,2})\s*(?:月|-|/)\s*([0-9]{1,2})\s*(?:日)?"
+EFFECTIVE = rf"自\s*({LOOSE_DATE})\s*(?:起|实施|施行)"
+
+
+def _padded(c: Column, p: str) -> Column:
+    return F.when(c.rlike(p), F.concat_ws("-", F.regexp_extract(c, p, 1), *(F.lpad(F.regexp_extract(c, p, i), 2, "0") for i in (2, 3))))
+
+
 def extract_date(c: Column) -> Column:
     """The first ``20yy-m-d`` (also with ``年月日``, dots or slashes) as ``yyyy-mm-dd``; null if there is none."""
-    p = r"(20[0-9]{2})[-年./]([0-9]{1,2})[-月./]([0-9]{1,2})"
-    return F.when(c.rlike(p), F.concat_ws("-", F.regexp_extract(c, p, 1), F.lpad(F.regexp_extract(c, p, 2), 2, "0"), F.lpad(F.regexp_extract(c, p, 3), 2, "0")))
+    return _padded(c, DATE)
 
 
 def parse_date(c: Column) -> Column:
-    """``extract_date``, else the first ten signs of the value."""
-    return F.coalesce(extract_date(c), F.substring(c, 1, 10))
+    """``extract_date``, else the first ten signs of the value; null for an empty one."""
+    return F.coalesce(extract_date(c), F.nullif(F.substring(c, 1, 10), F.lit("")))
+
+
+def date_or_raw(c: Column) -> Column:
+    """``extract_date``, else the value as it is; null for an empty one."""
+    return F.coalesce(extract_date(c), F.nullif(c, F.lit("")))
 
 
 def valid_date(c: Column) -> Column:
@@ -84,6 +131,48 @@ def valid_date(c: Column) -> Column:
     return F.try_to_date(extract_date(c), "yyyy-MM-dd")
 
 
+def loose_date(c: Column) -> Column:
+    """The first date that may hold spaces, as ``yyyy-mm-dd``; null if the calendar has no such day."""
+    return F.date_format(F.try_to_date(_padded(c, LOOSE_DATE), "yyyy-MM-dd"), "yyyy-MM-dd")
+
+
+def labelled_date(c: Column, label: str) -> Column:
+    """The date behind ``【label】``; null if there is none."""
+    found = F.regexp_extract(c, rf"【{quoted(label)}】\s*(20[0-9]{{2}}[-/年.][0-9]{{1,2}}[-/月.][0-9]{{1,2}})", 1)
+    return parse_date(found)
+
+
+def inferred_dates(c: Column, head: int = 1500) -> Column:
+    """(published_at, effective_at) from a text's beginning: the first date, and the one it takes effect from.
+
+    A text that takes effect on its publication has that day; null where there is none.
+    """
+    h = F.substring(c, 1, head)
+    published = loose_date(h)
+    effective = F.coalesce(loose_date(F.regexp_extract(h, EFFECTIVE, 1)), F.when(F.contains(h, F.lit("自发布之日起")), published))
+    return F.struct(published.alias("published_at"), effective.alias("effective_at"))
+
+
+def numbered_title(name: Column, text: Column, rule: str = "(法|办法|规则|细则|指引|指南|规范|风险揭示书)") -> Column:
+    """(title, source_key) of an imported file: its first line where that names a rule, else the title in its name.
+
+    Names are ``number_source_x_title`` or ``number_CSRC_NERIS_x_title``; any other name is the title, its source null.
+    """
+    parts = F.split(F.regexp_replace(name, r"\.[^.]*$", ""), "_")
+    long_key = (F.size(parts) >= 5) & (F.get(parts, 1) == "CSRC") & (F.get(parts, 2) == "NERIS")
+    numbered = (F.size(parts) >= 4) & F.get(parts, 0).rlike("^[0-9]+$")
+    named = F.when(numbered, strip(F.array_join(F.when(long_key, F.slice(parts, 5, F.size(parts))).otherwise(F.slice(parts, 4, F.size(parts))), "_"))).otherwise(F.array_join(parts, "_"))
+    line = F.get(F.filter(F.transform(F.split(text, r"\r\n|\r|\n"), strip), lambda x: x != ""), 0)
+    good = F.coalesce((F.length(line) <= 80) & ~line.rlike(r"^[（(【]") & line.rlike(rule) & ~F.contains(line, F.lit("发布")), F.lit(False))
+    key = F.when(numbered, F.when(long_key, F.lit("CSRC_NERIS")).otherwise(F.get(parts, 1)))
+    return F.struct(F.when(good, line).otherwise(named).alias("title"), key.alias("source_key"))
+
+
+def fixed(c: Column, digits: int = 2) -> Column:
+    """A number with so many digits after the point, without signs between thousands."""
+    return F.format_string(f"%.{digits}f", c)
+
+
 def millis_to_date(c: Column, zone: str = "Asia/Shanghai") -> Column:
     """Epoch milliseconds as a date of ``zone``."""
     return F.to_date(F.from_utc_timestamp(F.timestamp_millis(c), zone))
@@ -131,6 +220,34 @@ def any_keyword(c: Column, keywords: Column) -> Column:
     return none | F.coalesce(F.exists(keywords, lambda k: (k != "") & F.contains(c, k)), F.lit(False))
 
 
+def percent_encoded(c: Column, safe: str) -> Column:
+    """Every sign but letters, digits, ``_.-~`` and the ``safe`` ones as the bytes of its UTF-8; null stays null."""
+    plain = f"[A-Za-z0-9_.~{re.escape(safe)}-]"
+    signs = F.transform(F.split(c, "(?!^)(?=.)(?<![\\ud800-\\udbff])"), lambda x: F.when(x.rlike(f"^{plain}*$"), x).otherwise(F.regexp_replace(F.hex(F.encode(x, "UTF-8")), "(..)", "%$1")))
+    return F.when(c.rlike(f"^{plain}*$"), c).otherwise(F.array_join(signs, ""))
+
+
+def url_parts(url: Column) -> Column:
+    """(scheme, netloc, path, query, fragment) as they stand, each with its own signs; empty where missing."""
+    p = r"(?s)^([A-Za-z][A-Za-z0-9+.-]*:)?(//[^/?#]*)?([^?#]*)(\?[^#]*)?(#.*)?$"
+    return F.struct(*(F.regexp_extract(url, p, i).alias(n) for i, n in enumerate(("scheme", "netloc", "path", "query", "fragment"), 1)))
+
+
+def ascii_url(url: Column) -> Column:
+    """A URL as found on a page, with path, query and fragment percent-encoded; what is encoded already stays."""
+    u = url_parts(url)
+    tail = "=&%:/?+@,;"
+    rest = (F.when(F.length(u[x]) > 1, F.concat(F.substring(u[x], 1, 1), percent_encoded(F.substring(u[x], 2, F.length(u[x])), tail))).otherwise(F.lit("")) for x in ("query", "fragment"))
+    return F.concat(u["scheme"], u["netloc"], percent_encoded(u["path"], "/%:@"), *rest)
+
+
+def url_candidates(url: Column, host_of: str, other: str) -> Column:
+    """The URL, and the same on another host where it is on ``host_of``."""
+    u = url_parts(url)
+    moved = F.concat(u["scheme"], F.lit(f"//{other}"), u["path"], u["query"])
+    return F.when(u["netloc"] == f"//{host_of}", F.array(url, moved)).otherwise(F.array(url))
+
+
 def host(url: Column) -> Column:
     """The host of a URL in lower case; null where there is none."""
     return F.nullif(F.lower(F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)", 1)), F.lit(""))
@@ -162,6 +279,11 @@ def json_object(c: Column) -> Column:
     return F.nullif(F.regexp_extract(F.regexp_replace(c, "```(?:json)?", ""), r"(?s)(\{.*\})", 1), F.lit(""))
 
 
+def unwrapped(c: Column) -> Column:
+    """What stands between the first opening and the last closing bracket, as in a response wrapped for a script."""
+    return F.nullif(F.regexp_extract(c, r"(?s)^[^(]*\((.*)\)[^)]*$", 1), F.lit(""))
+
+
 def round_half_up(c: Column, digits: int = 2) -> Column:
     """Half up on the binary value, as floor(x * 10^d + 0.5) / 10^d."""
     k = 10.0**digits

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lawweave.functions.text import truthy
@@ -14,14 +14,14 @@ from lawweave.functions.text import truthy
 def last_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """The row of each key with the greatest order values (nulls lowest); equal rows count once.
 
-    A partial aggregation, so a hot key is reduced before the shuffle.  Rows whose key is null or empty drop
-    out.  Ties are settled by all other columns that can be compared, so the result does not depend on arrival.
+    Spark keeps one row per key and task before the shuffle (a window with a rank filter), so a hot key is reduced
+    first and each row moves once.  Rows whose key is null or empty drop out.  Ties are settled by all other columns
+    that can be compared, so the result does not depend on arrival.
     """
     comparable = [f.name for f in df.schema if f.name not in {*keys, *order} and f.dataType.typeName() not in ("map", "variant")]
-    rank = F.struct(*(F.col(c) for c in order), *(F.col(c) for c in comparable))
     present = reduce(Column.__and__, (F.col(k).isNotNull() & (F.col(k).cast("string") != "") for k in keys))
-    best = df.where(present).groupBy(*keys).agg(F.max_by(F.struct(*(F.col(c) for c in df.columns)), rank).alias("_r"))
-    return best.select(*(F.col("_r")[c].alias(c) for c in df.columns))
+    w = Window.partitionBy(*keys).orderBy(*(F.desc_nulls_last(c) for c in (*order, *comparable)))
+    return df.where(present).withColumn("_n", F.row_number().over(w)).where("_n = 1").drop("_n")
 
 
 def upsert(existing: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -51,11 +51,6 @@ def merge_fields(left: DataFrame, right: DataFrame, keys: Sequence[str], prefer:
     return left.join(r, list(keys), "left").select(*(chosen(c).alias(c) if c in prefer else F.col(c) for c in left.columns))
 
 
-def same_key(a: DataFrame, b: DataFrame, keys: Sequence[str]) -> Column:
-    """Equality of composite keys in which null equals null."""
-    return reduce(Column.__and__, (a[k].eqNullSafe(b[k]) for k in keys))
-
-
 def absent(new: DataFrame, existing: DataFrame, keys: Sequence[str]) -> DataFrame:
     """New rows, one per key, whose key is not among the existing; null equals null."""
     new = new.dropDuplicates(list(keys))

@@ -11,19 +11,9 @@ from pyspark.sql import functions as F
 from lawweave.functions.search import DELIMITERS, bm25
 from lawweave.functions.text import keyword_score, preview, round_half_up
 from lawweave.operators.index import corpus_statistics, document_frequency, postings
+from lawweave.session import small
 
-# Search terms and what they are widened by; a parameter of every search.
-EXPANSIONS: dict[str, tuple[str, ...]] = {
-    "场外期权": ("非标准化期权", "场外衍生品", "场外"),
-    "收益互换": ("互换", "总收益互换", "swap"),
-    "收益凭证": ("凭证", "发行", "销售"),
-    "适当性": ("专业投资者", "合格投资者", "投资者适当性"),
-    "备案": ("报告", "登记", "信息报送"),
-    "净资本": ("风险资本", "风险控制指标"),
-    "跨境": ("跨境交易", "外汇管理", "外汇"),
-    "保证金": ("履约保障", "担保品"),
-}
-TAXONOMY: dict[str, tuple[str, ...]] = {"场外期权": ("otc_derivative",), "互换": ("swap",), "远期": ("forward",), "回购": ("repo",), "外汇": ("fx_derivative", "fx"), "商品": ("commodity",), "基金": ("fund", "etf")}
+# Weights of the levels of authority.
 AUTHORITY: dict[str, float] = {"law": 5.0, "administrative_regulation": 4.5, "department_rule": 4.0, "normative_doc": 3.0, "self_regulatory_rule": 2.5, "exchange_rule": 2.0, "business_guideline": 1.5}
 
 
@@ -36,7 +26,26 @@ def _tokens(s: str) -> list[str]:
     return out
 
 
-def expand(query: str, expansions: Mapping[str, Sequence[str]] = EXPANSIONS, taxonomy: Mapping[str, Sequence[str]] = TAXONOMY) -> tuple[list[str], list[str]]:
+Dictionary = Mapping[str, Sequence[str]]
+
+
+def dictionaries(registry: DataFrame, most: int = 10_000) -> tuple[Dictionary, Dictionary]:
+    """(expansions, taxonomy) of a registry: a keyword stands for the other keywords of its sources, and for their product types.
+
+    The registry is a parameter table; more than ``most`` pairs are refused, as the terms of a query are a parameter too.
+    """
+    k = registry.select(F.explode("include_keywords").alias("key"), "include_keywords", "product_types").where("key <> ''")
+    pairs = k.select("key", F.lit(0).alias("kind"), F.explode("include_keywords").alias("term")).where("term <> key").unionByName(k.select("key", F.lit(1).alias("kind"), F.explode("product_types").alias("term"))).distinct()
+    rows = pairs.orderBy("kind", "key", "term").limit(most + 1).collect()
+    if len(rows) > most:
+        raise ValueError(f"a dictionary of more than {most} pairs")
+    out: tuple[dict, dict] = ({}, {})
+    for key, kind, term in rows:
+        out[kind].setdefault(key, []).append(term)
+    return out
+
+
+def expand(query: str, expansions: Dictionary, taxonomy: Dictionary) -> tuple[list[str], list[str]]:
     """(distinct query terms in order, taxonomy terms): a key fires if the query holds it or its first two signs."""
     fired = [x for k, v in expansions.items() if k in query or k[:2] in query for x in v]
     tax = [x for k, v in taxonomy.items() if k in query or k[:2] in query for x in v]
@@ -54,7 +63,7 @@ def expand_column(query: Column, dictionary: DataFrame, queries: DataFrame, id:
     """
     q = queries.select(F.col(id), query.alias("_q")).where(F.trim(F.col("_q")) != "")
     hit = F.contains(F.col("_q"), F.col("key")) | F.contains(F.col("_q"), F.substring("key", 1, 2))
-    found = q.join(F.broadcast(dictionary.where("key <> ''")), hit).select(id, "expansion")
+    found = q.join(small(dictionary.where("key <> ''"), 10_000), hit).select(id, "expansion")
     return found.unionByName(q.select(id, F.col("_q").alias("expansion"))).distinct()
 
 
@@ -99,7 +108,7 @@ def full_text() -> Column:
     return F.concat(F.coalesce("title", F.lit("")), F.lit(" "), F.coalesce("text", F.lit("")))
 
 
-def search(evidence: DataFrame, clauses: DataFrame, query: str, max_evidence: int = 10, max_clauses: int = 20, max_total: int = 25, expansions: Mapping[str, Sequence[str]] = EXPANSIONS, taxonomy: Mapping[str, Sequence[str]] = TAXONOMY) -> DataFrame:
+def search(evidence: DataFrame, clauses: DataFrame, query: str, max_evidence: int = 10, max_clauses: int = 20, max_total: int = 25, expansions: Dictionary | None = None, taxonomy: Dictionary | None = None) -> DataFrame:
     """The hits of a query: (rank, source, id, title, excerpt, score), evidence first.
 
     Three stages - evidence, clause titles with headings, clause texts - each scored by BM25; a clause found by
@@ -107,7 +116,7 @@ def search(evidence: DataFrame, clauses: DataFrame, query: str, max_evidence: in
     the same title and first 80 signs the best stays, after that each source has its quota.  Ties go by stage and
     id.  One row per clause id and evidence id is assumed (see ``merge.last_per_key``).  A blank query has no hits.
     """
-    terms, tax = expand(query, expansions, taxonomy) if query.strip() else ([], [])
+    terms, tax = expand(query, expansions or {}, taxonomy or {}) if query.strip() else ([], [])
     ev = scores(evidence, "evidence_id", evidence_text(), terms, True).join(evidence, "evidence_id")
     hits_ev = ev.select(F.lit("evidence").alias("source"), F.lit(1).alias("stage"), F.col("evidence_id").alias("id"), F.coalesce("title", F.lit("")).alias("title"), F.substring(F.coalesce("support_scope", F.lit("")), 1, 300).alias("excerpt"), (F.col("bm25") * 2).alias("raw"))
     by_title = scores(clauses, "clause_id", title_text(), terms, True).withColumn("stage", F.lit(2))
@@ -174,12 +183,15 @@ def first_match(keys: DataFrame, key: str, rows: DataFrame, id: str, title: str,
     return k.select("key").join(best, F.col("key") == F.col("_k"), "left").select("key", F.col("_b.id").alias("id"), *(F.col(f"_b.{c}").alias(c) for c in carried))
 
 
-def best_candidate(df: DataFrame, group: str, title: Column, date: str, id: str, query: str, active: Column) -> DataFrame:
-    """Per group the best candidate for a query: exact title 5, title holds it 2, active 2; then the later date, then the id."""
-    q = query.strip()
-    s = F.when(title == q, 5).otherwise(0) + F.when(F.contains(title, F.lit(q)), 2).otherwise(0) + F.when(active, 2).otherwise(0)
-    rows = df.where(title.isNotNull()).select(group, F.col(id).alias("id"), title.alias("title"), F.coalesce(F.col(date), F.lit("")).alias("date"), s.alias("score"))
-    top = rows.groupBy(group).agg(F.max(F.struct("score", "date")).alias("_m"))
-    tied = rows.join(top.withColumnRenamed(group, "_g"), (F.col(group) == F.col("_g")) & (F.struct("score", "date") == F.col("_m")), "left_semi")
-    return tied.groupBy(group).agg(F.min_by(F.struct("id", "title", "date", "score"), F.col("id")).alias("_r")).select(group, "_r.*")
+def best_candidate(df: DataFrame, group: str, title: Column, date: str, id: str, query: str, active: Column, law: Column, prefix: str = "中华人民共和国") -> DataFrame:
+    """Per group the best candidate for a query: the full name of the law 5, title holds the query 2, active 2, a law 2; then the later date, then the id.
 
+    Titles are compared without white space.  The candidates are those whose title holds the query; all where none does.
+    """
+    q = re.sub(r"\s+", "", query)
+    compact = F.regexp_replace(F.coalesce(title, F.lit("")), r"\s+", "")
+    holds = F.contains(compact, F.lit(q))
+    s = F.when(compact == prefix + q, 5).otherwise(0) + F.when(holds, 2).otherwise(0) + F.when(F.coalesce(active, F.lit(False)), 2).otherwise(0) + F.when(F.coalesce(law, F.lit(False)), 2).otherwise(0)
+    rows = df.select(group, F.col(id).alias("id"), title.alias("title"), F.coalesce(F.col(date), F.lit("")).alias("date"), s.cast("int").alias("score"), holds.alias("_holds"))
+    w = Window.partitionBy(group).orderBy(F.desc("_holds"), F.desc("score"), F.desc("date"), "id")
+    return rows.withColumn("_n", F.row_number().over(w)).where("_n = 1").drop("_n", "_holds")

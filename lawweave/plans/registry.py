@@ -12,12 +12,16 @@ from lawweave.functions import text as ft
 from lawweave.operators import index, merge, report, segment
 from lawweave.operators import search as srch
 from lawweave.plans.sql import SQL
-from lawweave.session import table
+from lawweave.session import small, table
 from lawweave.streaming.incremental import ingest
 
 #: The query the search queries answer, and the terms of the keyword search.
 QUERY = "场外期权 备案"
 TERMS = ["场外期权", "OTC"]
+#: Most rows of the registry that are broadcast.
+REGISTRY_ROWS = 100_000
+# Titles that say nothing, and beginnings of lines that are no titles.
+GENERIC = ("", "目录页", "首页")
 BAD_PREFIXES = ("|", "English", "移动端", "微博", "微信", "无障碍")
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -64,8 +68,10 @@ def clean_space(spark, d):
 @query
 def title_infer(spark, d):
     t = table(spark, d, "documents", "doc_id", "title", "text")
-    generic = F.coalesce(ft.strip(F.col("title")), F.lit("")).isin("", "目录页", "首页")
-    return t.select("doc_id", F.when(generic, ft.first_line(F.col("text"), BAD_PREFIXES)).otherwise(F.col("title")).alias("title"), generic.alias("title_inferred"))
+    generic = F.coalesce(ft.strip(F.col("title")), F.lit("")).isin(*GENERIC)
+    line = ft.first_line(F.col("text"), BAD_PREFIXES)
+    inferred = generic & ~F.coalesce(line, F.lit("")).isin(*GENERIC)  # a generic title stays where the text has no better one
+    return t.select("doc_id", F.when(inferred, line).otherwise(F.col("title")).alias("title"), inferred.alias("title_inferred"))
 
 
 @query
@@ -85,14 +91,14 @@ def date_normalise(spark, d):
 def url_host_allow(spark, d):
     r = table(spark, d, "regulatory_documents", "doc_id", "source_id", "url")
     s = table(spark, d, "sources", "source_id", "allowed_domains")
-    return r.join(F.broadcast(s), "source_id").select("doc_id", ft.host(F.col("url")).alias("host"), ft.domain_allowed(F.col("url"), F.col("allowed_domains")).alias("allowed")).distinct()
+    return r.join(small(s, REGISTRY_ROWS), "source_id").select("doc_id", ft.host(F.col("url")).alias("host"), ft.domain_allowed(F.col("url"), F.col("allowed_domains")).alias("allowed")).distinct()
 
 
 @query
 def keyword_filter(spark, d):
     r = table(spark, d, "regulatory_documents", "doc_id", "source_id", "title")
     s = table(spark, d, "sources", "source_id", "include_keywords")
-    return r.join(F.broadcast(s), "source_id").where(ft.any_keyword(F.col("title"), F.col("include_keywords"))).select("doc_id").distinct()
+    return r.join(small(s, REGISTRY_ROWS), "source_id").where(ft.any_keyword(F.col("title"), F.col("include_keywords"))).select("doc_id").distinct()
 
 
 @query
@@ -124,10 +130,20 @@ def epoch_date(spark, d):
 # --- segmentation ----------------------------------------------------------------------------------------------------
 
 
+def _articles(spark, d, **how):
+    t = table(spark, d, "documents", "doc_id", "text").select("doc_id", F.posexplode(segment.split_articles(ft.clean_text(F.col("text")), **how)).alias("pos", "text"))
+    return t.select("doc_id", "pos", ft.article_no(F.col("text")).alias("article_no"), F.length("text").alias("chars"), F.md5("text").alias("digest"))
+
+
 @query
 def article_split(spark, d):
-    t = table(spark, d, "documents", "doc_id", "text").select("doc_id", F.posexplode(segment.split_articles(ft.clean_text(F.col("text")))).alias("pos", "text"))
-    return t.select("doc_id", "pos", ft.article_no(F.col("text")).alias("article_no"), F.length("text").alias("chars"), F.md5("text").alias("digest"))
+    return _articles(spark, d)
+
+
+@query
+def article_split_repeated(spark, d):
+    """With each marker written twice, as a splitter with a captured look-ahead does."""
+    return _articles(spark, d, repeat_marker=True)
 
 
 @query
@@ -198,23 +214,27 @@ def facets(spark, d):
 # --- search ----------------------------------------------------------------------------------------------------------
 
 
+def _registry(spark, d):
+    return table(spark, d, "sources", "source_id", "include_keywords", "product_types")
+
+
 @query
 def query_expand(spark, d):
-    e = _evidence(spark, d)
-    pairs = spark.createDataFrame([(k, x) for k, v in srch.EXPANSIONS.items() for x in v], "key string, expansion string")
-    return srch.expand_column(F.col("title"), pairs, e, "evidence_id")
+    s = _registry(spark, d).select(F.explode("include_keywords").alias("key"), "include_keywords")
+    pairs = s.select("key", F.explode("include_keywords").alias("expansion")).where("key <> expansion").distinct()
+    return srch.expand_column(F.col("title"), pairs, _evidence(spark, d), "evidence_id")
 
 
 @query
 def bm25_evidence(spark, d):
-    terms, _ = srch.expand(QUERY)
+    terms, _ = srch.expand(QUERY, *srch.dictionaries(_registry(spark, d)))
     s = srch.scores(_evidence(spark, d), "evidence_id", srch.evidence_text(), terms, True)
     return s.select("evidence_id", F.round("bm25", 6).alias("bm25"))
 
 
 @query
 def bm25_title(spark, d):
-    terms, _ = srch.expand(QUERY)
+    terms, _ = srch.expand(QUERY, *srch.dictionaries(_registry(spark, d)))
     s = srch.scores(_clauses(spark, d, "title", "heading_path"), "clause_id", srch.title_text(), terms, True)
     return s.select("clause_id", F.round("bm25", 6).alias("bm25"))
 
@@ -222,7 +242,8 @@ def bm25_title(spark, d):
 @query
 def search_full(spark, d):
     c = _clauses(spark, d, "title", "text", "heading_path", "authority_level", "product_types", "asset_classes")
-    return srch.search(_evidence(spark, d), c, QUERY)
+    expansions, taxonomy = srch.dictionaries(_registry(spark, d))
+    return srch.search(_evidence(spark, d), c, QUERY, expansions=expansions, taxonomy=taxonomy)
 
 
 @query
@@ -240,7 +261,7 @@ def kwic_preview(spark, d):
 def taxonomy_overlap(spark, d):
     r = _docs(spark, d, "source_id", "asset_classes", "product_types")
     s = table(spark, d, "sources", "source_id", F.col("asset_classes").alias("s_assets"), F.col("product_types").alias("s_products"))
-    j = r.join(F.broadcast(s), "source_id")
+    j = r.join(small(s, REGISTRY_ROWS), "source_id")
     return j.select("doc_id", F.arrays_overlap("asset_classes", "s_assets").alias("assets"), F.arrays_overlap("product_types", "s_products").alias("products"))
 
 
@@ -254,8 +275,8 @@ def first_match_title(spark, d):
 
 @query
 def choose_best(spark, d):
-    r = _docs(spark, d, "source_id", "title", "published_at", "status").where("source_id is not null")
-    return srch.best_candidate(r, "source_id", F.col("title"), "published_at", "doc_id", "场外期权", F.col("status") == "effective")
+    r = _docs(spark, d, "source_id", "title", "published_at", "status", "authority_level").where("source_id is not null")
+    return srch.best_candidate(r, "source_id", F.col("title"), "published_at", "doc_id", "场外期权", F.col("status") == "effective", F.col("authority_level") == "law")
 
 
 @query
@@ -299,7 +320,7 @@ def field_merge(spark, d):
 def registry_lookup(spark, d):
     r = _docs(spark, d, "source_id", "authority_level")
     s = table(spark, d, "sources", "source_id", F.col("authority_level").alias("registered"))
-    return r.join(F.broadcast(s), "source_id", "left").select("doc_id", "authority_level", "registered", (~F.col("authority_level").eqNullSafe(F.col("registered"))).alias("deviates"))
+    return r.join(small(s, REGISTRY_ROWS), "source_id", "left").select("doc_id", "authority_level", "registered", (~F.col("authority_level").eqNullSafe(F.col("registered"))).alias("deviates"))
 
 
 @query

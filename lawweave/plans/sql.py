@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from lawweave.operators.search import AUTHORITY, EXPANSIONS, expand
-
+# The weights of the levels of authority, as the definition states them.
+AUTHORITY = {"law": 5.0, "administrative_regulation": 4.5, "department_rule": 4.0, "normative_doc": 3.0, "self_regulatory_rule": 2.5, "exchange_rule": 2.0, "business_guideline": 1.5}
 QUERY = "场外期权 备案"
 _WS = r"\t-\r\x{1c}-\x{20}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
 _DELIM = r"[，。、；：！？（）【】《》" + "\"'" + r"「」『』\[\]\t-\r\x{20}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}\x{feff}]+"
@@ -38,43 +38,59 @@ def tokens(x: str) -> str:
     return f"flatten(list_transform({words(x)}, lambda w: list_concat([w], list_transform(range(1, length(w)), lambda i: substring(w, i, 2)))))"
 
 
+def chunks(rows: str, most: int = 1200, overlap: int = 160) -> str:
+    """(doc_id, x, pos) of the greedy chunks of ``rows`` (doc_id, t), by recursion over the paragraphs: one step closes or extends the open chunk."""
+    room = f"length(open) + length(p) + 2 <= {most}"
+    return f"""with recursive para as (select doc_id, list_filter(list_transform(string_split_regex(t, '\\n{{2,}}'), lambda x: {strip('x')}), lambda x: x <> '') as ps from ({rows})),
+step(doc_id, i, open, out) as (select doc_id, 1, '', []::varchar[] from para
+union all select doc_id, i + 1, case when {room} then case when open <> '' then open || chr(10) || chr(10) || p else p end when length(p) <= {most} then p else '' end,
+case when {room} then []::varchar[] when length(p) <= {most} then list_filter([open], lambda x: x <> '') else list_concat(list_filter([open], lambda x: x <> ''), list_transform(range(0, length(p), {most - overlap}), lambda j: substring(p, j + 1, {most}))) end
+from (select s.doc_id, s.i, s.open, q.ps[s.i] as p from step s join para q using (doc_id) where s.i <= len(q.ps))),
+last as (select s.doc_id, s.i, list_filter([s.open], lambda x: x <> '') as out from step s join para q using (doc_id) where s.i = len(q.ps) + 1),
+pieces as (select doc_id, i, out from step union all select doc_id, i + 1, out from last),
+u as (select doc_id, i, unnest(out) as x, generate_subscripts(out, 1) as j from pieces)
+select doc_id, x, row_number() over (partition by doc_id order by i, j) - 1 as pos from u"""
+
+
 _C = "(select * from (select *, row_number() over (partition by clause_id order by retrieved_at desc nulls last, coalesce(source_id, '') desc) as rn from clauses where clause_id <> '') where rn = 1)"
 _R = "(select * from (select *, row_number() over (partition by doc_id order by retrieved_at desc nulls last) as rn from regulatory_documents where doc_id <> '') where rn = 1)"
 _E = "(select * from (select *, row_number() over (partition by evidence_id) as rn from evidence_ledger) where rn = 1)"
 _EV_TEXT = "array_to_string(list_filter(list_concat([title, support_scope], coalesce(tags, []), [publisher]), lambda x: coalesce(x, '') <> ''), ' ')"
 _TITLE_TEXT = "array_to_string(list_filter([coalesce(title, ''), array_to_string(coalesce(heading_path, []), ' ')], lambda x: x <> ''), ' ')"
 _FULL_TEXT = "(coalesce(title, '') || ' ' || coalesce(text, ''))"
-_TERMS, _TAX = expand(QUERY)
-
-
-def values(items: list[str]) -> str:
-    return ", ".join("('" + x.replace("'", "''") + "')" for x in items)
+# The terms of the query: its own, those of the keywords that share a source with a keyword it holds (or the first two
+# signs of which it holds), and those of that source's product types, with and without underscores.
+_KEYS = "select distinct s.source_id, s.include_keywords, s.product_types, k.key from sources s, (select distinct unnest(include_keywords) as key from sources) k where list_contains(s.include_keywords, k.key) and k.key <> '' and (contains('{q}', k.key) or contains('{q}', substring(k.key, 1, 2)))"
+_TAX_TERMS = f"select distinct unnest(product_types) as x from ({_KEYS.replace('{q}', QUERY)})"
+_WIDE = f"select '{QUERY}' as x union select x from (select key, unnest(include_keywords) as x from ({_KEYS.replace('{q}', QUERY)})) where x <> key union select x from ({_TAX_TERMS}) union select replace(x, '_', ' ') from ({_TAX_TERMS})"
+_TERM_ROWS = f"select unnest({tokens('x')}) as x from ({_WIDE}) union select x from ({_WIDE}) where length(x) >= 2"
 
 
 def scored(name: str, rows: str, id: str, text: str, toks: str) -> str:
     """CTEs that end in ``name`` (id, bm25) for the search's query."""
     return f"""
 {name}_d as (select {id} as id, {text} as t from {rows} as q),
-{name}_p as (select id, term, count(*) as freq, any_value(dl) as dl from (select id, length(t) as dl, unnest({toks}) as term from {name}_d) where term in (select x from (values {values(_TERMS)}) as v(x)) group by id, term),
+{name}_p as (select id, term, count(*) as freq, any_value(dl) as dl from (select id, length(t) as dl, unnest({toks}) as term from {name}_d) where term in (select x from ({_TERM_ROWS}) as v(x)) group by id, term),
 {name}_f as (select term, count(*) as df from {name}_p group by term),
 {name}_s as (select count(*) as n, coalesce(avg(length(t)), 0) as avgdl from {name}_d),
 {name} as (select id, sum(ln((n - df + 0.5) / (df + 0.5) + 1) * (2.5 * freq / (freq + 1.5 * (0.25 + 0.75 * (dl / avgdl))))) as bm25 from {name}_p join {name}_f using (term), {name}_s group by id)"""
 
 
 _WEIGHT = "case authority_level " + " ".join(f"when '{k}' then {v}::double" for k, v in AUTHORITY.items()) + " else 1::double end"
-_TAXLIST = "[" + ", ".join(f"'{t}'" for t in _TAX) + "]"
+_TAXLIST = f"(select coalesce(list(x), []) from ({_TAX_TERMS}))"
 _BOOST = f"(case when list_has_any(coalesce(product_types, []), {_TAXLIST}) then 1.3::double else 1::double end * case when list_has_any(coalesce(asset_classes, []), {_TAXLIST}) then 1.15::double else 1::double end)"
 
 SQL: dict[str, str] = {
     "scan_project_hit": "select clause_id, coalesce(title, '') as title, coalesce(url, '') as url, coalesce(published_at, '') as published_at, coalesce(article_no, '') as article_no, substring(coalesce(text, ''), 1, 300) as excerpt from clauses",
     "clean_text": f"select doc_id, length({clean('text')}) as chars, md5({clean('text')}) as digest from documents",
     "clean_space": f"select clause_id, length({space('text')}) as chars, md5({space('text')}) as digest from clauses",
-    "title_infer": f"""select doc_id, case when g then case when text is null then null else coalesce(substring(list_filter(list_transform(string_split_regex(text, '\\r\\n|\\r|\\n'), lambda x: {strip('x')}), lambda x: x <> '' and not (starts_with(x, '|') or starts_with(x, 'English') or starts_with(x, '移动端') or starts_with(x, '微博') or starts_with(x, '微信') or starts_with(x, '无障碍')))[1], 1, 160), '') end else title end as title, g as title_inferred
-from (select *, coalesce({strip('title')}, '') in ('', '目录页', '首页') as g from documents)""",
+    "title_infer": f"""with g as (select doc_id, title, coalesce({strip('title')}, '') in ('', '目录页', '首页') as generic, substring(list_filter(list_transform(string_split_regex(coalesce(text, ''), '\\r\\n|\\r|\\n'), lambda x: {strip('x')}), lambda x: x <> '' and not (starts_with(x, '|') or starts_with(x, 'English') or starts_with(x, '移动端') or starts_with(x, '微博') or starts_with(x, '微信') or starts_with(x, '无障碍')))[1], 1, 160) as line from documents),
+i as (select *, generic and coalesce(line, '') not in ('', '目录页', '首页') as inferred from g)
+select doc_id, case when inferred then line else title end as title, inferred as title_inferred from i""",
     "id_hash": "select url, coalesce(source_id, 'none') || '_' || substring(sha1(url), 1, 12) as made_id, sha256(coalesce(title, '')) as title_sha from regulatory_documents",
-    "date_normalise": r"""with x as (select doc_id, published_at, effective_at, regexp_extract(published_at, '(20[0-9]{2})[-年./]([0-9]{1,2})[-月./]([0-9]{1,2})', ['y', 'm', 'd']) as p, regexp_extract(effective_at, '(20[0-9]{2})[-年./]([0-9]{1,2})[-月./]([0-9]{1,2})', ['y', 'm', 'd']) as e from regulatory_documents),
+    "date_normalise": r"""with x as (select doc_id, effective_at, regexp_extract(published_at, '(20[0-9]{2})[-年./](0?[1-9]|1[0-2])[-月./](3[01]|[12][0-9]|0?[1-9])', ['y', 'm', 'd']) as p, regexp_extract(effective_at, '(20[0-9]{2})[-/年.](0?[1-9]|1[0-2])[-/月.](3[01]|[12][0-9]|0?[1-9])', ['y', 'm', 'd']) as e from regulatory_documents),
 y as (select doc_id, effective_at, case when p.y <> '' then p.y || '-' || lpad(p.m, 2, '0') || '-' || lpad(p.d, 2, '0') end as a, case when e.y <> '' then e.y || '-' || lpad(e.m, 2, '0') || '-' || lpad(e.d, 2, '0') end as b from x)
-select doc_id, a as published_on, coalesce(b, substring(effective_at, 1, 10)) as effective_on, strftime(try_strptime(a, '%Y-%m-%d'), '%Y%m%d') as published_day from y""",
+select doc_id, a as published_on, coalesce(b, nullif(substring(effective_at, 1, 10), '')) as effective_on, strftime(try_strptime(a, '%Y-%m-%d'), '%Y%m%d') as published_day from y""",
     "url_host_allow": "with x as (select doc_id, allowed_domains, nullif(lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)', 1)), '') as h from regulatory_documents join sources using (source_id)) select distinct doc_id, h as host, coalesce(len(list_filter(allowed_domains, lambda d: h = lower(d) or ends_with(h, '.' || lower(d)))) > 0, false) as allowed from x",
     "keyword_filter": "select distinct doc_id from regulatory_documents r join sources s using (source_id) where coalesce(len(include_keywords), 0) = 0 or coalesce(len(list_filter(include_keywords, lambda k: k <> '' and contains(r.title, k))) > 0, false)",
     "attachment_suffix": r"select distinct attachment_id, coalesce(nullif(lower(regexp_extract(attachment_path, '(\.[^./?#]+)(?:[?#].*)?$', 1)), ''), nullif(lower(regexp_extract(attachment_name, '(\.[^./?#]+)(?:[?#].*)?$', 1)), ''), '.bin') as suffix from attachments",
@@ -86,6 +102,12 @@ s as (select doc_id, string_split(regexp_replace(t, '(第[{_NUM}]+条)', chr(1)
 f as (select doc_id, list_filter(list_transform(cut[2:], lambda x: {strip('x')}), lambda x: length(x) > 20) as parts from s where (case when {strip('cut[1]')} <> '' then 1 else 0 end) + 2 * (len(cut) - 1) >= 4),
 u as (select doc_id, unnest(parts) as x, generate_subscripts(parts, 1) - 1 as pos from f)
 select doc_id, cast(pos as integer) as pos, regexp_extract(x, '^(第[{_NUM}]+条)', 1) as article_no, length(x) as chars, md5(x) as digest from u""",
+    "article_split_repeated": f"""with t as (select doc_id, {clean('text')} as t from documents where text is not null),
+s as (select doc_id, string_split(regexp_replace(t, '(第[{_NUM}]+条)', chr(1) || '\\1', 'g'), chr(1)) as cut from t),
+f as (select doc_id, list_filter(list_transform(cut[2:], lambda x: regexp_extract(x, '^(第[{_NUM}]+条)', 1) || {strip('x')}), lambda x: length(x) > 20) as parts from s where (case when {strip('cut[1]')} <> '' then 1 else 0 end) + 2 * (len(cut) - 1) >= 4),
+u as (select doc_id, unnest(parts) as x, generate_subscripts(parts, 1) - 1 as pos from f)
+select doc_id, cast(pos as integer) as pos, regexp_extract(x, '^(第[{_NUM}]+条)', 1) as article_no, length(x) as chars, md5(x) as digest from u""",
+    "size_chunk": f"select doc_id, cast(pos as integer) as pos, length(x) as chars, md5(x) as digest from ({chunks('select doc_id, ' + clean('text') + ' as t from documents where text is not null')})",
     "long_slices": "with u as (select doc_id, text, unnest(case when length(text) > 1200 then range(0, length(text), 1040) when length(text) > 0 then [0] else [] end) as i from documents where text is not null) select doc_id, cast(i as integer) as start_at, length(substring(text, i + 1, 1200)) as chars, md5(substring(text, i + 1, 1200)) as digest from u",
     "heading_path": f"""select doc_id, array_to_string(list_filter(list_transform(string_split_regex(text, '\\r\\n|\\r|\\n')[1:20], lambda x: {strip('x')}), lambda x: regexp_matches(x, '^(第[{_NUM}]+[章节编]|附[件录]|[一二三四五六七八九十]+、).{{0,80}}$'))[-3:], ' / ') as path from documents""",
     "tokenize_titles": f"select doc_id, array_to_string({tokens('title')}, '¦') as tokens from {_R} r",
@@ -94,7 +116,7 @@ select doc_id, cast(pos as integer) as pos, regexp_extract(x, '^(第[{_NUM}]+条
     "corpus_stats": f"select count(*) as n, round(coalesce(avg(length({_FULL_TEXT})), 0), 6) as avgdl from {_C} c",
     "posting_cap": f"select doc_id, word, cast(rank as integer) as rank from (select doc_id, word, row_number() over (partition by word order by doc_id) as rank from (select distinct doc_id, unnest({words('title')}) as word from {_R} r)) where rank <= 200",
     "facets": f"""with c as (select * from {_C} q), p as (select clause_id, 'authority_level' as facet, coalesce(authority_level, 'unknown') as value from c union select clause_id, 'source_id', coalesce(source_id, 'unknown') from c union select clause_id, 'product_types', unnest(product_types) from c union select clause_id, 'asset_classes', unnest(asset_classes) from c) select facet, value, count(*) as n from p group by facet, value""",
-    "query_expand": f"with d(k, x) as (values {', '.join(f'({chr(39)}{k}{chr(39)}, {chr(39)}{x}{chr(39)})' for k, v in EXPANSIONS.items() for x in v)}), e as (select * from {_E} q where trim(title) <> '') select distinct evidence_id, x as expansion from e join d on contains(title, k) or contains(title, substring(k, 1, 2)) union select evidence_id, title from e",
+    "query_expand": f"with d as (select distinct a.key as k, b.x from (select source_id, unnest(include_keywords) as key from sources) a join (select source_id, unnest(include_keywords) as x from sources) b using (source_id) where a.key <> b.x and a.key <> ''), e as (select * from {_E} q where trim(title) <> '') select distinct evidence_id, x as expansion from e join d on contains(title, k) or contains(title, substring(k, 1, 2)) union select evidence_id, title from e",
     "bm25_evidence": f"with {scored('a', _E, 'evidence_id', _EV_TEXT, tokens('t'))} select id as evidence_id, round(bm25, 6) as bm25 from a",
     "bm25_title": f"with {scored('a', _C, 'clause_id', _TITLE_TEXT, tokens('t'))} select id as clause_id, round(bm25, 6) as bm25 from a",
     "search_full": f"""with {scored('a', _E, 'evidence_id', _EV_TEXT, tokens('t'))}, {scored('b', _C, 'clause_id', _TITLE_TEXT, tokens('t'))}, {scored('c', _C, 'clause_id', _FULL_TEXT, words('t'))},
@@ -110,7 +132,7 @@ select id, cast(score as integer) as score, translate(substring(t, greatest(0, l
 select doc_id, coalesce(translate(substring(text, greatest(0, case when pos = 999999999 then 1 else pos end - 81) + 1, 240), chr(10), ' '), '') as preview from p""",
     "taxonomy_overlap": f"select r.doc_id, list_has_any(r.asset_classes, s.asset_classes) as assets, list_has_any(r.product_types, s.product_types) as products from {_R} r join sources s using (source_id)",
     "first_match_title": f"with k as (select distinct title as key from evidence_ledger where title is not null), c as (select * from {_C} q where article_no <> ''), m as (select key, min_by(article_no, clause_id) as a, min(clause_id) as clause_id from k join c on key <> '' and contains(lower(c.title), lower(key)) group by key) select k.key, m.clause_id, regexp_replace(regexp_replace(m.a, '^第', ''), '条$', '') as article from k left join m using (key)",
-    "choose_best": f"select source_id, id, title, date, score from (select source_id, doc_id as id, title, coalesce(published_at, '') as date, cast((case when title = '场外期权' then 5 else 0 end) + (case when contains(title, '场外期权') then 2 else 0 end) + (case when status = 'effective' then 2 else 0 end) as integer) as score, row_number() over (partition by source_id order by (case when title = '场外期权' then 5 else 0 end) + (case when contains(title, '场外期权') then 2 else 0 end) + (case when status = 'effective' then 2 else 0 end) desc, coalesce(published_at, '') desc, doc_id) as k from {_R} r where title is not null and source_id is not null) where k = 1",
+    "choose_best": f"with r as (select source_id, doc_id as id, title, coalesce(published_at, '') as date, regexp_replace(coalesce(title, ''), '\\s+', '', 'g') as t, status, authority_level from {_R} q where source_id is not null), s as (select *, contains(t, '场外期权') as holds, cast((case when t = '中华人民共和国场外期权' then 5 else 0 end) + (case when contains(t, '场外期权') then 2 else 0 end) + (case when status = 'effective' then 2 else 0 end) + (case when authority_level = 'law' then 2 else 0 end) as integer) as score from r) select source_id, id, title, date, score from (select *, row_number() over (partition by source_id order by holds desc, score desc, date desc, id) as k from s) where k = 1",
     "dedupe_title_excerpt": f"select id, score from (select clause_id as id, cast(length(coalesce(text, '')) as double) as score, row_number() over (partition by coalesce(title, ''), substring(coalesce(text, ''), 1, 80) order by length(coalesce(text, '')) desc, clause_id) as k from {_C} c) where k = 1",
     "latest_by_key": "select clause_id, max(retrieved_at) as retrieved_at, any_value(title) as title from clauses group by clause_id",
     "incremental_upsert": f"select doc_id, retrieved_at, title, status from {_R} r",

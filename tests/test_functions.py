@@ -100,7 +100,7 @@ def test_html(spark):
     got = one(spark, PAGE, fh.links)
     assert [(x.href, x.anchor) for x in got] == [("/x.pdf", "附件 1")]
     assert one(spark, "/b/../c", lambda c: fh.absolute(F.lit("https://h/a/"), c)) == "https://h/c"
-    df = spark.createDataFrame([("https://h/x.pdf", "t", ["k"]), ("https://h/content/1", "t", []), ("https://h/content/1", "t", ["k"])], "u string, a string, k array<string>")
+    df = spark.createDataFrame([("https://h/x.pdf", "t", ["k"]), ("https://h/content_1", "t", []), ("https://h/content_1", "t", ["k"])], "u string, a string, k array<string>")
     assert [r.x for r in df.select(fh.looks_like_document(F.col("u"), F.col("a"), F.col("k")).alias("x")).collect()] == [True, True, False]
     assert one(spark, "@doc@a@memo@ @memo@b@memo@c@memo@d@doc@x@memo@y", fh.delimited_records) == [["a", "b", "c", "d"]]
 
@@ -114,3 +114,61 @@ def test_tokens(spark):
 def test_bm25(spark):
     r = spark.range(1).select(fs.bm25(F.lit(2), F.lit(10), F.lit(8.0), F.lit(4), F.lit(1)).alias("s")).first().s
     assert r == pytest.approx(1.5920301545, abs=1e-9)
+
+
+@pytest.mark.parametrize("raw", ["a&eacute;b &#20013; &hellip;", "&amp;lt;", "&nbsp;&copy x", "&#x4e2d;&#128;&#0;&#xD800;", "&unknown; & b", "AT&T &notit; &AMP", "&#99999999999;", "", "&;&&#;", "&#x1F600;&NotEqualTilde;"])
+def test_entities_are_those_of_html(spark, raw):
+    import html
+
+    assert one(spark, raw, ft.unescape) == html.unescape(raw)
+
+
+@pytest.mark.parametrize(("raw", "want"), [("2020-13-45", None), ("2020-1-45", "2020-01-04"), ("于2021年3月9日", "2021-03-09"), ("1999-01-01", None), ("", None), (None, None)])
+def test_dates_the_calendar_can_have(spark, raw, want):
+    assert one(spark, raw, ft.extract_date) == want
+
+
+def test_dates_in_running_text(spark):
+    text = "【发布日期】2020-3-1\n本办法自 2021 年 5 月 1 日 起施行。"
+    assert one(spark, text, lambda c: ft.labelled_date(c, "发布日期")) == "2020-03-01" and one(spark, text, lambda c: ft.labelled_date(c, "生效")) is None
+    assert tuple(one(spark, text, ft.inferred_dates)) == ("2020-03-01", "2021-05-01")
+    assert tuple(one(spark, "2020年2月30日印发，自发布之日起施行", ft.inferred_dates)) == (None, None)
+    assert tuple(one(spark, "2020年2月3日印发，自发布之日起施行", ft.inferred_dates)) == ("2020-02-03", "2020-02-03")
+    assert one(spark, "x" * 20, ft.parse_date) == "x" * 10 and one(spark, "无", ft.date_or_raw) == "无" and one(spark, "", ft.parse_date) is None
+
+
+def test_urls(spark):
+    from urllib.parse import quote, urlsplit, urlunsplit
+
+    for u in ("https://a.b/路径/x y.html?q=中&z=1#片", "http://h/%20a", "/x", "𠀀", "https://h.example"):
+        p = urlsplit(u)
+        tail = "=&%:/?+@,;"
+        assert one(spark, u, ft.ascii_url) == urlunsplit((p.scheme, p.netloc, quote(p.path, safe="/%:@"), quote(p.query, safe=tail), quote(p.fragment, safe=tail)))
+    assert one(spark, "https://w.a/x?b=1#c", lambda c: ft.url_candidates(c, "w.a", "w.b")) == ["https://w.a/x?b=1#c", "https://w.b/x?b=1"]
+    assert one(spark, "https://z.a/x", lambda c: ft.url_candidates(c, "w.a", "w.b")) == ["https://z.a/x"] and one(spark, None, ft.ascii_url) is None
+    assert one(spark, 'cb({"a": "(x)"});', ft.unwrapped) == '{"a": "(x)"}' and one(spark, "none", ft.unwrapped) is None
+
+
+@pytest.mark.parametrize(("name", "text", "want"), [("07_SSE_x_管理办法.docx", "", ("管理办法", "SSE")), ("07_CSRC_NERIS_x_规则_二.docx", "（一）规则", ("规则_二", "CSRC_NERIS")), ("说明.pdf", "\n 业务指引 \n正文", ("业务指引", None)), ("a_b.docx", "发布规则", ("a_b", None))])
+def test_titles_of_files(spark, name, text, want):
+    r = spark.createDataFrame([(name, text)], "n string, t string").select(ft.numbered_title(F.col("n"), F.col("t")).alias("r")).first().r
+    assert tuple(r) == want
+
+
+def test_pairs_and_links_of_pages(spark):
+    assert one(spark, "<em>a</em> 1 <em>b</em>2<em>a</em>3", fh.label_pairs) == {"b": "2", "a": "3"}
+    js = "[{name: 'x',\n link: '/1'}, {name:'y' ,\n  link: '/2'}, {name: 'z',\n link: '/1'}]"
+    assert [tuple(r) for r in one(spark, js, fh.script_links)] == [("x", "/1"), ("y", "/2")]
+    page = '<a href="#">t</a><a href="/a.PDF">A</a><a href="/b.html">b</a><a href="c.docx">C</a>'
+    assert [(r.ordinal, r.href) for r in one(spark, page, fh.attachment_links)] == [(1, "/a.PDF"), (3, "c.docx")]
+
+
+def test_nested_payloads(spark):
+    from lawweave.functions import nested
+
+    law = '{"lawlist": {"law": {"bodyAgoCntnt": "<p>前言</p>", "draftDscr": ""}, "lawEntryVOs": [{"title": "第一条", "cntnt": "内容", "itemList": [{"cntnt": "<b>一</b>"}, {"cntnt": null}]}, {"title": null, "cntnt": null}, null]}}'
+    read = lambda c: nested.law_text(F.from_json(c, nested.LAW))
+    assert one(spark, law, read) == "前言\n\n第一条 内容\n\n一" and one(spark, "{}", read) == ""
+    assert one(spark, '{"title": "a", "children": [{"title": "b", "children": null}, {"title": "", "children": [{"title": "c"}]}]}', nested.heading_tree) == "a\n  b\n    c"
+    paths = '{"p": [{"ItemLvs": [{"itemName": "a"}, {"itemName": null}, {"itemName": "b"}]}, {"ItemLvs": []}, {}]}'
+    assert one(spark, paths, lambda c: nested.item_paths(F.from_json(c, "p array<struct<ItemLvs: array<struct<itemName: string>>>>")["p"])) == ["a / b"]
