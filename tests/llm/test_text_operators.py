@@ -150,9 +150,7 @@ def test_restore_encoding(spark):
 def test_signs_of_all_rows_are_usual(spark):
     rows = [(i, RULE) for i in range(400)] + [(1000 + i, "经办人：玲瑞继启倡函。") for i in range(8)] + [(9999, "经办人" + mojibake.misread("玲瑞继启倡函", "utf-8", "cp1252") + "。")]
     df = spark.createDataFrame(rows, "id long, text string")
-    sample = {r[0] for r in mojibake.bounded_sample(df, "id", 20, "text")}
-    assert not sample & set(range(1000, 1010))
-    model = mojibake.fit_model(df, "id", "text", 20)
+    model = mojibake.fit_model(df, "id", "text", 1)  # the sample can't hold the signs, the counts do
     assert set("玲瑞继启倡函") <= model.usual
     assert mojibake.repair(model, [rows[-1][1]]) == [("经办人玲瑞继启倡函。", 1)]
 
