@@ -57,6 +57,11 @@ def p5_found(spark: SparkSession, d: str) -> DataFrame:
     return unify.look_alike_pairs(clauses(spark, d, "clause_id", "title", "text"), "clause_id", "title", "text")
 
 
+def p5_classes(spark: SparkSession, d: str) -> DataFrame:
+    """Every clause that looks like another one of other characters, with its class and spelling; not expanded into pairs."""
+    return unify.look_alike_classes(clauses(spark, d, "clause_id", "title", "text"), "clause_id", "title", "text")
+
+
 def p5_unified(spark: SparkSession, d: str) -> DataFrame:
     """Titles and texts in the one consistent form; repeated rows stay."""
     c = clauses(spark, d, "clause_id", "title", "text")
@@ -98,7 +103,7 @@ def p9_pieces(spark: SparkSession, d: str) -> DataFrame:
     return splitting.split_documents(table(spark, d, "documents", "doc_id", "text"), "doc_id", "text", table(spark, d, "size_limits"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (p1_found, p1_repaired, p2_found, p2_restored, p3_found, p3_cleaned, p4_found, p4_main_text, p5_found, p5_unified, p6_found, p6_kept, p7_ids, p7_round_trip, p8_containers, p8_usage, p9_pieces)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (p1_found, p1_repaired, p2_found, p2_restored, p3_found, p3_cleaned, p4_found, p4_main_text, p5_found, p5_classes, p5_unified, p6_found, p6_kept, p7_ids, p7_round_trip, p8_containers, p8_usage, p9_pieces)}
 
 _LINES = """
 with known as (select doc_id, min(source_id) as s from resolved_gaps where doc_id is not null group by doc_id),

@@ -22,6 +22,7 @@ from pyspark.sql.functions import pandas_udf
 from pyspark.sql.types import BinaryType, StringType, StructField, StructType
 
 from lawweave.llm.common import char_class
+from lawweave.session import cut
 
 # Letters of other scripts that are drawn like Latin letters.
 LOOKALIKES = dict(
@@ -106,24 +107,20 @@ def unify(values: pd.Series) -> pd.Series:
     return _per_distinct(values, folded)
 
 
-@pandas_udf(StringType())
-def unify_visible(values: pd.Series) -> pd.Series:
-    """Column function: the visible form of each value; null stays null."""
-    return _per_distinct(values, visible)
-
-
 @pandas_udf(StructType([StructField(x, BinaryType()) for x in ("folded", "seen", "raw")]))
 def _keys(title: pd.Series, text: pd.Series) -> pd.DataFrame:
     def dig(a: str, b: str) -> bytes:
         return hashlib.blake2b(f"{len(a)}:{a}{b}".encode("utf-8", "surrogatepass"), digest_size=16).digest()
 
-    out, memo = [], {}
+    def forms(values: pd.Series) -> dict[str, tuple[str, str]]:
+        """Both forms of each distinct value of the batch."""
+        return {x: (folded(x, v := visible(x)), v) for x in values.unique()}
+
+    titles, texts = forms(title), forms(text)
+    out = []
     for a, b in zip(title, text, strict=True):
-        if a not in memo:  # one title stands on many rows of a batch
-            memo[a] = (folded(a, v := visible(a)), v)
-        fa, va = memo[a]
-        vb = visible(b)
-        out.append((dig(fa, folded(b, vb)), dig(va, vb), dig(a, b)))
+        (fa, va), (fb, vb) = titles[a], texts[b]
+        out.append((dig(fa, fb), dig(va, vb), dig(a, b)))
     return pd.DataFrame(out, columns=["folded", "seen", "raw"])
 
 
@@ -132,33 +129,46 @@ def unify_columns(df: DataFrame, *columns: str, suffix: str = "_unified") -> Dat
     return df.select("*", *(unify(F.col(c)).alias(c + suffix) for c in columns))
 
 
+def spellings(df: DataFrame, id: str, title: str, text: str) -> DataFrame:
+    """(id, folded, seen, raw): the digests of each row's consistent form, visible form and characters, once per row.
+
+    Rows with a null title or id, or a null or empty text, are left out; repeated ids count once.  The digests are
+    written once and read by all that follows.
+    """
+    good = F.col(title).isNotNull() & F.col(text).isNotNull() & (F.col(text) != "") & F.col(id).isNotNull()
+    return cut(df.where(good).select(F.col(id).alias("id"), _keys(F.col(title), F.col(text)).alias("k")).select("id", "k.*").distinct())
+
+
+def look_alike_classes(df: DataFrame, id: str, title: str, text: str) -> DataFrame:
+    """(id, class, spelling, spellings) of every row that looks like another one of other characters.
+
+    One row per row of ``df``, however many look alike: a class is what looks the same, a spelling what is the same.
+    """
+    k = spellings(df, id, title, text)
+    several = k.select("folded", "seen", "raw").distinct().groupBy("folded", "seen").agg(F.count("*").cast("int").alias("spellings")).where("spellings > 1")
+    return k.join(several, ["folded", "seen"]).select(F.col("id").alias(id), F.hex("seen").alias("class"), F.hex("raw").alias("spelling"), "spellings")
+
+
 def look_alike_pairs(df: DataFrame, id: str, title: str, text: str, hot: int = HOT_ROWS) -> DataFrame:
     """Pairs (a < b) of rows whose title and text look the same but are not the same characters.
 
-    Rows with a null title, or a null or empty text, make no pair; repeated ids count once.
     Only digests are shuffled.  The distinct spellings of a group are paired first and their rows joined
     to the pairs, so that only rows of different spellings meet; a spelling of more than ``hot`` rows is
     salted by the id, and the other side of its pairs repeated per salt.
     """
-    k = (
-        df.where(F.col(title).isNotNull() & F.col(text).isNotNull() & (F.col(text) != "") & F.col(id).isNotNull())
-        .select(F.col(id).alias("id"), _keys(F.col(title), F.col(text)).alias("k"))
-        .select("id", "k.*")
-        .distinct()
-        .persist()
-    )
-    spellings = k.groupBy("folded", "seen", "raw").agg(F.ceil(F.count("*") / hot).cast("int").alias("salts"))
-    several = spellings.groupBy("folded", "seen").count().where("count > 1").select("folded", "seen")
-    spellings = spellings.join(several, ["folded", "seen"], "left_semi").persist()  # few: those of look-alikes
-    a, b = (spellings.select(*(F.col(c).alias(c + s) for c in spellings.columns)) for s in "ab")
+    k = spellings(df, id, title, text)
+    own = k.groupBy("folded", "seen", "raw").agg(F.ceil(F.count("*") / hot).cast("int").alias("salts"))
+    several = own.groupBy("folded", "seen").count().where("count > 1").select("folded", "seen")
+    own = cut(own.join(several, ["folded", "seen"], "left_semi"))  # few: those of look-alikes
+    a, b = (own.select(*(F.col(c).alias(c + s) for c in own.columns)) for s in "ab")
     pairs = a.join(b, (F.col("foldeda") == F.col("foldedb")) & (F.col("seena") == F.col("seenb")) & (F.col("rawa") < F.col("rawb")))
     # Both sides of each pair of spellings, once per salt of the side's own; joined with the rows of the spelling.
     sides = pairs.select("rawa", "rawb", F.explode(F.array(*(F.struct(F.lit(s).alias("side"), F.col("raw" + s).alias("raw"), F.col("salts" + s).alias("own"), F.col("salts" + o).alias("other")) for s, o in ("ab", "ba")))).alias("s"))
     sides = sides.select("rawa", "rawb", "s.*").withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("own") - 1))).drop("own")
-    salted = spellings.where("salts > 1").select("raw", "salts")
+    salted = own.where("salts > 1").select("raw", "salts")
     rows = k.join(F.broadcast(salted), "raw", "left")  # at most one row per ``hot`` rows of the table
     rows = rows.select("id", "raw", F.pmod(F.xxhash64("id"), F.coalesce("salts", F.lit(1))).cast("int").alias("salt"))
-    met = rows.join(sides, ["raw", "salt"]).withColumn("there", F.explode(F.sequence(F.lit(0), F.col("other") - 1))).persist()
+    met = cut(rows.join(sides, ["raw", "salt"]).withColumn("there", F.explode(F.sequence(F.lit(0), F.col("other") - 1))).drop("other", "raw"))
     left = met.where("side = 'a'").select("rawa", "rawb", F.col("salt").alias("i"), F.col("there").alias("j"), F.col("id").alias("ida"))
     right = met.where("side = 'b'").select("rawa", "rawb", F.col("there").alias("i"), F.col("salt").alias("j"), F.col("id").alias("idb"))
     hit = left.join(right, ["rawa", "rawb", "i", "j"]).where(F.col("ida") != F.col("idb"))

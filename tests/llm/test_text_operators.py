@@ -84,6 +84,14 @@ def test_encode_corpus(spark):
     assert bpe.encode_corpus(df.limit(0), "doc_id", "text").count() == 0
 
 
+def test_look_alike_classes(spark):
+    rows = [("a", "规则", "文本１"), ("b", "规则", "文本1"), ("c", "规则", "文本2"), ("d", None, "文本1"), ("e", "规则", "文本1"), ("e", "规则", "文本1"), ("n", "规则", None)]
+    df = spark.createDataFrame([(*r, "x") for r in rows], "id string, title string, text string, class string")
+    got = {r.id: (r["class"], r.spelling, r.spellings) for r in unify.look_alike_classes(df, "id", "title", "text").collect()}
+    assert set(got) == {"a", "b", "e"} and len({c for c, _, _ in got.values()}) == 1 and got["b"][1] == got["e"][1] != got["a"][1] and got["a"][2] == 2
+    assert unify.look_alike_classes(df.limit(0), "id", "title", "text").count() == 0
+
+
 # --- problem 3 ---------------------------------------------------------------------------------------------------
 
 
