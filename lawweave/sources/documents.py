@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import io
 import re
 import zipfile
@@ -15,9 +16,6 @@ from pyspark.sql.types import StringType
 
 from lawweave.functions.text import suffix
 
-#: Levels of archives inside archives that are opened.
-NESTED = 3
-
 
 def docx_text(data: bytes) -> str:
     """Paragraphs of a word document, one per line, tabs and breaks kept."""
@@ -70,18 +68,22 @@ def plain_text(data: bytes) -> str:
     return data.decode("utf-8", "replace")
 
 
-def zip_text(data: bytes, level: int = 0) -> str:
-    """The texts of an archive's readable members, in order of name."""
+def zip_text(data: bytes, above: frozenset[bytes] = frozenset()) -> str:
+    """The texts of an archive's members in order of their names, each under its name as a heading; archives inside it are opened as well.
+
+    An archive that lies in itself is not opened again.
+    """
+    above = above | {hashlib.sha1(data).digest()}
     out = []
     z = zipfile.ZipFile(io.BytesIO(data))
     for n in sorted(z.namelist()):
-        t = None if n.endswith("/") or level >= NESTED else file_text(n, z.read(n), level + 1)
+        t = None if n.endswith("/") else file_text(n, z.read(n), above)
         if t:
             out.append(f"# {n}\n{t}")
     return "\n\n".join(out)
 
 
-def file_text(path: str, data: bytes | None, level: int = 0) -> str | None:
+def file_text(path: str, data: bytes | None, above: frozenset[bytes] = frozenset()) -> str | None:
     """The text of a file by its suffix; null for an unknown format, no content, or a damaged file."""
     end = re.search(r"\.[^./]+$", path.lower())
     kinds = {".docx": docx_text, ".xlsx": xlsx_text, ".pdf": pdf_text, ".txt": plain_text, ".csv": plain_text, ".md": plain_text}
@@ -89,7 +91,7 @@ def file_text(path: str, data: bytes | None, level: int = 0) -> str | None:
         if data is None:
             return None
         if end and end[0] == ".zip":
-            return zip_text(data, level)
+            return None if hashlib.sha1(data).digest() in above else zip_text(data, above)
         return kinds[end[0]](data) if end and end[0] in kinds else None
     except (zipfile.BadZipFile, ElementTree.ParseError, KeyError, ValueError, OSError):
         return None

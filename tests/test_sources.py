@@ -97,3 +97,13 @@ def test_stream_equals_batch(spark, tmp_path):
     t.merge(df.where("at < '20'"), 1)
     t.merge(df.where("at < '20'"), 1)
     assert {tuple(r) for r in t.current().collect()} == got
+
+
+def test_archives_of_any_depth():
+    data = b"x"
+    for level in range(9):
+        b = io.BytesIO()
+        with zipfile.ZipFile(b, "w") as z:
+            z.writestr("in.zip" if level else "in.txt", data)
+        data = b.getvalue()
+    assert documents.file_text("a.zip", data).endswith("# in.txt\nx")
