@@ -72,9 +72,12 @@ def scores(df: DataFrame, id: str, text: Column, terms: Sequence[str], bigrams:
 
     Terms are filtered before the first shuffle, so what moves grows with the matches, not with the corpus.
     """
-    p = postings(df, id, text, bigrams, list(terms))
-    stats = corpus_statistics(df, text)
-    s = p.join(document_frequency(p).select("term", "df"), "term").crossJoin(F.broadcast(stats))  # stats is one row
+    return scored(postings(df, id, text, bigrams, list(terms)), id, corpus_statistics(df, text))
+
+
+def scored(postings: DataFrame, id: str, stats: DataFrame) -> DataFrame:
+    """(id, bm25) from the query terms' postings (term, id, freq, length) and the corpus' statistics, which are one row."""
+    s = postings.join(document_frequency(postings).select("term", "df"), "term").crossJoin(F.broadcast(stats))
     return s.groupBy(id).agg(F.sum(bm25(F.col("freq"), F.col("length"), F.col("avgdl"), F.col("n"), F.col("df"))).alias("bm25"))
 
 
@@ -115,31 +118,43 @@ def search(evidence: DataFrame, clauses: DataFrame, query: str, max_evidence: in
     its title is not scored by its text.  Scores are rounded half up to two digits and then ranked; of hits with
     the same title and first 80 signs the best stays, after that each source has its quota.  Ties go by stage and
     id.  One row per clause id and evidence id is assumed (see ``merge.last_per_key``).  A blank query has no hits.
+    This reads all texts; ``stored.StoredIndex`` answers many queries from an index instead.
     """
     terms, tax = expand(query, expansions or {}, taxonomy or {}) if query.strip() else ([], [])
-    ev = scores(evidence, "evidence_id", evidence_text(), terms, True).join(evidence, "evidence_id")
-    hits_ev = ev.select(F.lit("evidence").alias("source"), F.lit(1).alias("stage"), F.col("evidence_id").alias("id"), F.coalesce("title", F.lit("")).alias("title"), F.substring(F.coalesce("support_scope", F.lit("")), 1, 300).alias("excerpt"), (F.col("bm25") * 2).alias("raw"))
-    by_title = scores(clauses, "clause_id", title_text(), terms, True).withColumn("stage", F.lit(2))
-    by_text = scores(clauses, "clause_id", full_text(), terms, False).withColumn("stage", F.lit(3))
-    both = by_title.unionByName(by_text.join(by_title.select("clause_id"), "clause_id", "left_anti"))
-    cl = both.join(clauses, "clause_id")
+    by_stage = (scores(evidence, "evidence_id", evidence_text(), terms, True), scores(clauses, "clause_id", title_text(), terms, True), scores(clauses, "clause_id", full_text(), terms, False))
+    return ranked_hits(by_stage, shown_evidence(evidence), shown_clauses(clauses), tax, max_evidence, max_clauses, max_total)
+
+
+def shown_evidence(evidence: DataFrame) -> DataFrame:
+    """What a hit shows of an evidence row."""
+    return evidence.select("evidence_id", F.coalesce("title", F.lit("")).alias("title"), F.substring(F.coalesce("support_scope", F.lit("")), 1, 300).alias("excerpt"))
+
+
+def shown_clauses(clauses: DataFrame) -> DataFrame:
+    """What a hit shows of a clause, and what its weight depends on."""
+    return clauses.select("clause_id", F.coalesce("title", F.lit("")).alias("title"), F.substring(F.coalesce("text", F.lit("")), 1, 300).alias("excerpt"), "authority_level", "product_types", "asset_classes")
+
+
+def ranked_hits(by_stage: tuple[DataFrame, DataFrame, DataFrame], evidence: DataFrame, clauses: DataFrame, tax: Sequence[str], max_evidence: int, max_clauses: int, max_total: int) -> DataFrame:
+    """The hits from the scores of the three stages; each stage is evaluated once."""
+    by_evidence, by_title, by_text = by_stage
+    ev = by_evidence.join(evidence, "evidence_id")
+    hits_ev = ev.select(F.lit("evidence").alias("source"), F.lit(1).alias("stage"), F.col("evidence_id").alias("id"), "title", "excerpt", (F.col("bm25") * 2).alias("raw"))
+    both = by_title.withColumn("stage", F.lit(2)).unionByName(by_text.withColumn("stage", F.lit(3)))
+    first = both.groupBy("clause_id").agg(F.min("stage").alias("stage"), F.min_by("bm25", "stage").alias("bm25"))
     raw = F.col("bm25") * weight(F.col("authority_level")) * taxonomy_boost(F.col("product_types"), F.col("asset_classes"), tax)
-    hits_cl = cl.select(F.lit("clause").alias("source"), "stage", F.col("clause_id").alias("id"), F.coalesce("title", F.lit("")).alias("title"), F.substring(F.coalesce("text", F.lit("")), 1, 300).alias("excerpt"), raw.alias("raw"))
+    hits_cl = first.join(clauses, "clause_id").select(F.lit("clause").alias("source"), "stage", F.col("clause_id").alias("id"), "title", "excerpt", raw.alias("raw"))
     hits = hits_ev.unionByName(hits_cl).select("source", "stage", "id", "title", "excerpt", round_half_up(F.col("raw")).alias("score"))
     return quota(first_by_excerpt(hits), {"evidence": max_evidence, "clause": max_clauses}, max_total)
 
 
 def first_by_excerpt(hits: DataFrame, signs: int = 80) -> DataFrame:
-    """Of hits with the same title and beginning of the excerpt the best one.
+    """Of hits with the same title and beginning of the excerpt the best one: by score, then stage, then id.
 
-    A partial aggregation: a title that many hits share is reduced before the shuffle.
+    Spark keeps one hit per task and key before the shuffle, so a title that many hits share is reduced first.
     """
-    rank = F.struct(F.col("score"), (-F.col("stage")).alias("s"))
-    key = [F.col("title"), F.substring("excerpt", 1, signs).alias("_x")]
-    row = F.struct(*(F.col(c) for c in hits.columns))
-    best = hits.groupBy(*key).agg(F.max(rank).alias("_top")).withColumnsRenamed({"title": "_t"})
-    again = hits.join(best, (F.col("title") == F.col("_t")) & (F.substring("excerpt", 1, signs) == F.col("_x")) & (F.col("score") == F.col("_top.score")) & (-F.col("stage") == F.col("_top.s")), "left_semi")
-    return again.groupBy(*key).agg(F.min_by(row, F.col("id")).alias("_r")).select("_r.*")
+    w = Window.partitionBy("title", F.substring("excerpt", 1, signs)).orderBy(F.desc("score"), "stage", "id")
+    return hits.withColumn("_n", F.row_number().over(w)).where("_n = 1").drop("_n")
 
 
 def quota(hits: DataFrame, quotas: Mapping[str, int], total: int) -> DataFrame:

@@ -11,9 +11,10 @@ from lawweave.functions import search as fs
 from lawweave.functions import text as ft
 from lawweave.operators import index, merge, report, segment
 from lawweave.operators import search as srch
+from lawweave.operators.stored import StoredIndex
 from lawweave.plans.sql import SQL
 from lawweave.session import small, table
-from lawweave.streaming.incremental import ingest
+from lawweave.streaming.incremental import ingest, shared_folder
 
 #: The query the search queries answer, and the terms of the keyword search.
 QUERY = "场外期权 备案"
@@ -239,11 +240,28 @@ def bm25_title(spark, d):
     return s.select("clause_id", F.round("bm25", 6).alias("bm25"))
 
 
+def _searched(spark, d):
+    return _evidence(spark, d), _clauses(spark, d, "title", "text", "heading_path", "authority_level", "product_types", "asset_classes")
+
+
+_indexes: dict[tuple[str, str], StoredIndex] = {}
+
+
 @query
 def search_full(spark, d):
-    c = _clauses(spark, d, "title", "text", "heading_path", "authority_level", "product_types", "asset_classes")
+    """The three-stage search on a stored index of the tables, which is built once per application."""
+    key = (spark.sparkContext.applicationId, d)
+    if key not in _indexes:
+        _indexes[key] = StoredIndex.build(*_searched(spark, d), shared_folder(spark))
+    expansions, taxonomy = srch.dictionaries(_registry(spark, d))
+    return _indexes[key].search(QUERY, expansions=expansions, taxonomy=taxonomy)
+
+
+@query
+def search_scan(spark, d):
+    """The same search without an index: all texts are read and taken apart."""
     expansions, taxonomy = srch.dictionaries(_registry(spark, d))
-    return srch.search(_evidence(spark, d), c, QUERY, expansions=expansions, taxonomy=taxonomy)
+    return srch.search(*_searched(spark, d), QUERY, expansions=expansions, taxonomy=taxonomy)
 
 
 @query

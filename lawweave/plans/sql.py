@@ -157,3 +157,12 @@ select doc_id, coalesce(translate(substring(text, greatest(0, case when pos = 99
     "score_band": "select doc_id, case when coalesce(n_chars / 2000.0, 0) >= 0.7 then 'high' when coalesce(n_chars / 2000.0, 0) >= 0.4 then 'medium' else 'low' end as band from documents",
     "markdown_rows": f"select source_id, cast(row_number() over (partition by source_id order by coalesce(published_at, '') desc, coalesce(title, '') desc, doc_id) as integer) as line_no, '| ' || replace(case when coalesce(url, '') <> '' then '[' || replace(substring(coalesce(title, ''), 1, 120), '|', '/') || '](' || url || ')' else replace(substring(coalesce(title, ''), 1, 120), '|', '/') end, '|', '/') || ' | ' || replace(coalesce(published_at, ''), '|', '/') || ' |' as line from {_R} r where source_id is not null",
 }
+SQL["search_scan"] = SQL["search_full"]
+# A document's articles, or its chunks where it has none.
+_CLEAN_DOCS = f"select doc_id, {clean('text')} as t from documents where text is not null"
+_HEADS = f"array_to_string(list_filter(list_transform(string_split_regex(t, '\\r\\n|\\r|\\n')[1:20], lambda x: {strip('x')}), lambda x: regexp_matches(x, '^(第[{_NUM}]+[章节编]|附[件录]|[一二三四五六七八九十]+、).{{0,80}}$'))[-3:], ' / ')"
+SQL["clause_rows"] = f"""with a as (select doc_id, t, string_split(regexp_replace(t, '(第[{_NUM}]+条)', chr(1) || '\\1', 'g'), chr(1)) as cut from ({_CLEAN_DOCS}) where t <> ''),
+f as (select doc_id, case when (case when {strip('cut[1]')} <> '' then 1 else 0 end) + 2 * (len(cut) - 1) >= 4 then list_filter(list_transform(cut[2:], lambda x: {strip('x')}), lambda x: length(x) > 20) else [] end as parts from a),
+ch as ({chunks(_CLEAN_DOCS)}),
+u as (select doc_id, unnest(parts) as x, generate_subscripts(parts, 1) - 1 as pos from f union all select doc_id, x, pos from ch where doc_id in (select doc_id from f where len(parts) = 0))
+select u.doc_id || '_c' || lpad(cast(pos + 1 as varchar), 4, '0') as clause_id, u.doc_id as doc_id, regexp_extract(x, '^(第[{_NUM}]+条)', 1) as article_no, title as cited_title, length(x) as chars from u join documents d on d.doc_id = u.doc_id"""

@@ -7,7 +7,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from lawweave.operators import harvest, index, lifecycle, merge, report, search, segment
+from lawweave.operators import harvest, index, lifecycle, merge, report, search, segment, stored
 
 SAMPLE = "前言。\n第一条 为规范交易行为，保护投资者合法权益，制定本办法。\n第二条 证券公司依照第一条规定开展收益互换业务，应当履行备案程序。\n第三条 短。"
 
@@ -110,7 +110,7 @@ def test_index(spark):
     assert index.capped_postings(df, "id", F.array(F.lit("w"), F.lit("w")), 2).count() == 2
 
 
-def test_expand_and_blank_query(spark):
+def test_expand_and_blank_query(spark, tmp_path):
     registry = spark.createDataFrame([("s", ["场外期权", "备案", "登记"], ["otc_derivative"]), ("t", [], ["fund"]), ("u", None, None)], "source_id string, include_keywords array<string>, product_types array<string>")
     dictionary = search.dictionaries(registry)
     assert ({k: sorted(v) for k, v in dictionary[0].items()}, dictionary[1]) == ({"备案": sorted(["场外期权", "登记"]), "场外期权": sorted(["备案", "登记"]), "登记": sorted(["场外期权", "备案"])}, {k: ["otc_derivative"] for k in ("备案", "场外期权", "登记")})
@@ -124,6 +124,11 @@ def test_expand_and_blank_query(spark):
     hits = search.search(ev, cl, "场外期权 备案", expansions=dictionary[0], taxonomy=dictionary[1]).orderBy("rank").collect()
     assert [h.id for h in hits] == ["e1", "c1", "c2"]  # c3 has the title and excerpt of c1
     assert search.search(ev, cl, " ").count() == 0
+    index_ = stored.StoredIndex.build(ev, cl, str(tmp_path))
+    found = index_.search("场外期权 备案", expansions=dictionary[0], taxonomy=dictionary[1])
+    assert found.orderBy("rank").collect() == hits and index_.search(" ").count() == 0
+    plan = index_.scores("text", ["备案", "登记"])._jdf.queryExecution().executedPlan().toString()
+    assert "In(term, " in plan and "regexp" not in plan and "split(" not in plan
     assert search.search(ev.limit(0), cl.limit(0), "备案").count() == 0
 
 
