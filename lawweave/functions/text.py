@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import html.entities
 import re
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -15,6 +15,11 @@ WS = r"\t-\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 NUMERALS = "一二三四五六七八九十百千万零〇两0-9"
 
 
+def let(value: Column, f: Callable[[Column], Column]) -> Column:
+    """``f(value)`` with ``value`` evaluated once, however often ``f`` uses it: bound as the variable of a lambda."""
+    return F.get(F.transform(F.array(value), f), F.lit(0))
+
+
 def quoted(s: str) -> str:
     """``s`` as a literal of Java's regex."""
     return "\\Q" + s.replace("\\E", "\\E\\\\E\\Q") + "\\E"

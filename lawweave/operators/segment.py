@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lawweave.functions.text import NUMERALS, WS, article_no, clean_text, strip
+from lawweave.functions.text import NUMERALS, WS, article_no, clean_text, let, strip
 
+# Where an article begins, and what a heading is.
 MARKER = f"第[{NUMERALS}]+条"
 HEADING = rf"^(第[{NUMERALS}]+[章节编]|附[件录]|[一二三四五六七八九十]+、).{{0,80}}$"
 
@@ -18,12 +19,14 @@ def split_articles(c: Column, marker: str = MARKER, least: int = 20, repeat_mark
     no articles (fewer than four parts count as unsegmented).  ``repeat_marker`` writes each marker twice, as
     a splitter with a captured look-ahead does.  Null texts give null.
     """
-    cut = F.split(F.regexp_replace(c, f"({marker})", "\u0001$1"), "\u0001")
-    rest = F.transform(F.slice(cut, 2, F.greatest(F.size(cut) - 1, F.lit(0))), strip)
-    lead = (strip(F.get(cut, 0)) != "").cast("int")
-    twice = F.transform(rest, lambda x: F.concat(F.regexp_extract(x, f"^({marker})", 1), x))
-    kept = F.filter(twice if repeat_marker else rest, lambda x: F.length(x) > least)
-    return F.when(c.isNotNull(), F.when(lead + 2 * F.size(rest) >= 4, kept).otherwise(F.array().cast("array<string>")))
+
+    def parts(cut: Column) -> Column:
+        rest = F.transform(F.slice(cut, 2, F.greatest(F.size(cut) - 1, F.lit(0))), strip)
+        lead = (strip(F.get(cut, 0)) != "").cast("int")
+        whole = F.transform(rest, lambda x: F.concat(F.regexp_extract(x, f"^({marker})", 1), x)) if repeat_marker else rest
+        return F.when(lead + 2 * (F.size(cut) - 1) >= 4, F.filter(whole, lambda x: F.length(x) > least)).otherwise(F.array().cast("array<string>"))
+
+    return let(F.split(F.regexp_replace(c, f"({marker})", "\u0001$1"), "\u0001"), lambda cut: F.when(cut.isNotNull(), parts(cut)))
 
 
 def chunk_by_size(c: Column, most: int = 1200, overlap: int = 160) -> Column:
@@ -31,7 +34,7 @@ def chunk_by_size(c: Column, most: int = 1200, overlap: int = 160) -> Column:
 
     A fold over the paragraphs; two more signs count for the blank line between them.  Null texts give null.
     """
-    paras = F.filter(F.transform(F.split(c, "\n{2,}"), strip), lambda p: p != "")
+    paras = F.filter(F.transform(F.split(c, "\n{2,}"), strip), lambda p: p != "")  # null for a null text, and so is the fold
     start = F.struct(F.array().cast("array<string>").alias("done"), F.lit("").alias("open"))
 
     def slices(p: Column) -> Column:
@@ -43,7 +46,7 @@ def chunk_by_size(c: Column, most: int = 1200, overlap: int = 160) -> Column:
         joined = F.when(acc["open"] != "", F.concat(acc["open"], F.lit("\n\n"), p)).otherwise(p)
         return F.when(fits, F.struct(acc["done"].alias("done"), joined.alias("open"))).when(F.length(p) <= most, F.struct(closed.alias("done"), p.alias("open"))).otherwise(F.struct(F.concat(closed, slices(p)).alias("done"), F.lit("").alias("open")))
 
-    return F.when(c.isNotNull(), F.aggregate(paras, start, step, lambda acc: F.when(acc["open"] != "", F.concat(acc["done"], F.array(acc["open"]))).otherwise(acc["done"])))
+    return F.aggregate(paras, start, step, lambda acc: F.when(acc["open"] != "", F.concat(acc["done"], F.array(acc["open"]))).otherwise(acc["done"]))
 
 
 def long_slices(c: Column, most: int = 1200, overlap: int = 160) -> Column:
@@ -65,8 +68,7 @@ def clause_rows(docs: DataFrame, id: str, text: str, *carried: str, most: int =
     Null and empty texts give no rows; repeated ids give their rows again.
     """
     t = clean_text(F.col(text))
-    articles = split_articles(F.col("_t"))
-    parts = F.when(F.size(articles) > 0, articles).otherwise(chunk_by_size(F.col("_t"), most, overlap))
+    parts = let(split_articles(F.col("_t")), lambda articles: F.when(F.size(articles) > 0, articles).otherwise(chunk_by_size(F.col("_t"), most, overlap)))
     d = docs.select(F.col(id).alias("doc_id"), t.alias("_t"), *(F.col(c) for c in carried)).where(F.col("_t") != "")
     rows = d.select("doc_id", *carried, heading_path(F.col("_t")).alias("heading_path"), F.posexplode(parts).alias("pos", "text"))
     cite = F.struct(*(F.col(c) for c in carried)) if carried else F.lit(None)
