@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
 
 def exists(spark: SparkSession, path: str) -> bool:
@@ -33,8 +33,8 @@ def read_json_list(spark: SparkSession, path: str, field: str) -> DataFrame:
 
 
 def read_terms(spark: SparkSession, path: str, fields: Sequence[str]) -> DataFrame:
-    """(dimension, term) of a JSON document of string lists."""
-    doc = spark.read.option("multiLine", True).json(path)
+    """(dimension, term) of a JSON document of string lists; a document that can't be parsed has none."""
+    doc = spark.read.schema(StructType([StructField(f, ArrayType(StringType())) for f in fields])).option("multiLine", True).json(path)
     return doc.select(F.explode(F.array(*(F.struct(F.lit(f).alias("dimension"), F.col(f).alias("terms")) for f in fields))).alias("d")).select("d.dimension", F.explode("d.terms").alias("term"))
 
 
@@ -43,9 +43,10 @@ def read_texts(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
     return spark.read.format("text").option("wholetext", True).option("pathGlobFilter", glob).load(path).select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("text"))
 
 
-def read_files(spark: SparkSession, path: str, glob: str = "*", recursive: bool = True) -> DataFrame:
-    """(path, content) of binary files."""
-    return spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", recursive).load(path).select("path", "content")
+def read_files(spark: SparkSession, path: str, glob: str = "*", recursive: bool = True, keep: Callable[[Column], Column] | None = None) -> DataFrame:
+    """(path, content) of binary files; ``keep``: which paths count, decided before their bytes are read."""
+    found = spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", recursive).load(path)
+    return (found.where(keep(F.col("path"))) if keep else found).select("path", "content")
 
 
 def read_csv(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:

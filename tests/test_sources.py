@@ -33,6 +33,8 @@ def test_registry_and_terms(spark, tmp_path):
     p.write_text(json.dumps({"at": "t", "sources": [{"id": "a"}, {"id": "b"}], "x": ["1", "2"], "y": ["3"]}, indent=1))
     assert [r.id for r in files.read_json_list(spark, str(p), "sources").collect()] == ["a", "b"]
     assert files.read_terms(spark, str(p), ["x", "y"]).count() == 3
+    p.write_text("{not json")
+    assert files.read_terms(spark, str(p), ["x", "y"]).count() == 0
 
 
 def test_manifest_round_trip(spark, tmp_path):
@@ -107,3 +109,12 @@ def test_archives_of_any_depth():
             z.writestr("in.zip" if level else "in.txt", data)
         data = b.getvalue()
     assert documents.file_text("a.zip", data).endswith("# in.txt\nx")
+
+
+def test_files_to_skip(spark, tmp_path):
+    from lawweave.operators.harvest import usable_file
+
+    for n in ("a.docx", "~$a.docx", "00_form.docx", "b.PDF", "c.txt"):
+        (tmp_path / n).write_bytes(b"x")
+    kept = files.read_files(spark, str(tmp_path), keep=usable_file).select(F.regexp_extract("path", "[^/]*$", 0).alias("n")).collect()
+    assert {r.n for r in kept} == {"a.docx", "b.PDF"}
