@@ -7,12 +7,10 @@ whole span is likeliest, a garbled sign being as likely as the clean signs it st
 span goes through its state's inverse transform and no other (encode in the wrong encoding, decode in the
 true one); the exact check keeps a span only if its bytes decode to signs of clean text.
 
-The clean state's frequencies and the signs of clean text are counted over all rows; a pair's
-frequencies are those of a bounded sample of rows (``SAMPLE``) after the wrong reading.  Rows that
-the first fit finds garbled leave the counts and the sample of the second fit, and the spans found in
-the sample give the probability of entering one.  All rows are labelled and
-restored, whole.  A
-text no stretch of which could gain, in any other state, what entering that state costs has the
+Nothing is fitted on a sample.  The clean state's frequencies and the signs of clean text are counted
+over all rows, and a pair's frequencies are those of all rows after the wrong reading.  Rows that the
+first fit finds garbled leave all counts of the second fit, and the spans found in them give the
+probability of entering one.  All rows are labelled and restored, whole.  A text no stretch of which could gain, in any other state, what entering that state costs has the
 all-clean path as its best path and skips the search.
 
 Null texts stay null, empty ones empty; neither is ever affected.
@@ -22,7 +20,7 @@ from __future__ import annotations
 
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -31,10 +29,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, IntegerType, LongType, StringType, StructField, StructType
 
-from lawweave.llm.common import bounded_sample
+from lawweave.session import cut
 
-#: Most rows the frequencies of the encoding pairs are fitted on.
-SAMPLE = 6_000
+#: Texts that a task misreads together.  No result depends on it.
+TOGETHER = 1_000
 #: Log-probability of entering a garbled span before any was seen, and for how many signs it stands.
 ENTER, PRIOR_SIGNS = -6.9, 1_000_000
 #: What entering a span is made cheaper by than was fitted: a span too many is dropped by the exact check, one too few is lost.
@@ -48,6 +46,8 @@ USUAL = 0.6
 TWICE = "utf-8 twice"
 # Fixed values: (true encoding, encoding it was read in).
 PAIRS = [("utf-8", "cp1252"), ("utf-8", "latin-1"), ("utf-8", "mac_roman"), ("utf-8", "gb18030"), ("utf-8", "gbk"), ("utf-8", "cp932"), ("utf-8", "big5"), ("utf-8", "cp1251"), ("utf-8", "koi8_r"), ("gb18030", "cp1252"), ("gb18030", "latin-1"), ("gb18030", "big5"), ("gb18030", "cp932"), ("big5", "gbk"), ("big5", "cp1252"), ("cp1252", "gbk"), (TWICE, "cp1252"), (TWICE, "latin-1")]
+#: Encodings of more than one byte a sign, and for how many signs each has room.  Read in any other, a sign comes out alike beside any neighbour.
+WIDE = {"gb18030": 24_000, "gbk": 22_000, "big5": 14_000, "cp932": 8_000}
 #: What is left of bytes that no decoder knew: the substitute sign, and its own bytes read as GBK.
 LOST = "�锟斤拷"
 _QUOTED = [("“", "”"), ("‘", "’"), ('"', '"'), ("「", "」"), ("『", "』"), ("《", "》"), ("'", "'")]
@@ -136,21 +136,65 @@ class Model:
         return [i for i, g in zip(some, best, strict=True) if g >= -self.enter]
 
 
-def fit(texts: list[str], pairs: list[tuple[str, str]] = PAIRS, counts: Counter | None = None) -> Model:
-    """Sign frequencies of each state from texts that are taken as clean, and the ``counts`` of signs, if more were counted."""
-    clean = Counter(counts or ())
-    if counts is None:
-        for t in texts:
-            clean.update(t)
-    for c in LOST:
-        clean.pop(c, None)
-    total = sum(clean.values())
-    usual = frozenset(c for c, n in clean.items() if n > max(2, 2e-6 * total) and ord(c) > 127)
-    good = ["".join(c for c in t if c in usual or ord(c) < 128) for t in texts]
-    joined = "\n".join(g for g in good if g)
-    states = [clean] + [Counter(misread(joined, *p)) for p in pairs] + [Counter({"�": 30, "锟": 25, "斤": 25, "拷": 25})]
+def usual_signs(clean: Counter) -> frozenset[str]:
+    """Signs beyond ASCII that are usual, by the counts of clean text."""
+    least = max(2, 2e-6 * sum(clean.values()))
+    return frozenset(c for c, n in clean.items() if n > least and ord(c) > 127)
+
+
+def wide_pairs(pairs: list[tuple[str, str]]) -> list[int]:
+    """The pairs whose wrong reading joins bytes of neighbouring signs, so that texts have to be misread to count its signs."""
+    return [k for k, (_, wrong) in enumerate(pairs) if wrong in WIDE]
+
+
+def misread_counts(texts: list[str], usual: frozenset[str], pairs: list[tuple[str, str]], total: dict[int, np.ndarray]) -> None:
+    """Adds to ``total`` how often each sign stands in the texts' usual signs and ASCII after each wide pair's wrong reading."""
+    if not texts:
+        return
+    keep = np.zeros(0x110000, bool)
+    keep[[*range(128), *map(ord, usual)]] = True
+    end = "\n\n\n"  # a sign of GB 18030 has up to four bytes: begun ones are read alike after each text
+    signs = np.frombuffer("\n".join([*texts, end]).encode("utf-32-le", "surrogatepass"), np.uint32)
+    good = signs[keep[signs]].tobytes().decode("utf-32-le")  # a line end is never the second half of a sign: texts stay apart
+    for k in wide_pairs(pairs):
+        n = np.bincount(np.frombuffer(misread(good, *pairs[k]).encode("utf-32-le"), np.uint32))
+        n[10] -= len(texts) + len(end)
+        total.setdefault(k, np.zeros(0x110000, np.int64))[: len(n)] += n
+
+
+def fit(texts: list[str], pairs: list[tuple[str, str]] = PAIRS) -> Model:
+    """Sign frequencies of each state from texts that are taken as clean."""
+    clean, total = without_lost(Counter("".join(texts))), {}
+    misread_counts(texts, usual_signs(clean), pairs, total)
+    return fit_counts(clean, {k: as_counter(n) for k, n in total.items()}, pairs)
+
+
+def as_counter(n: np.ndarray) -> Counter:
+    seen = np.flatnonzero(n)
+    return Counter(dict(zip(map(chr, seen.tolist()), n[seen].tolist(), strict=True)))
+
+
+def without_lost(counts: Counter) -> Counter:
+    """Counts of the signs that clean text can have."""
+    return Counter({c: n for c, n in counts.items() if c not in LOST and n > 0})
+
+
+def fit_counts(clean: Counter, wide: dict[int, Counter], pairs: list[tuple[str, str]] = PAIRS) -> Model:
+    """The model from counts: of the signs of clean text, and of the signs after the wrong reading of each of the ``wide_pairs``.
+
+    For all other pairs a sign's wrong reading does not depend on its neighbours, so the first counts are enough.
+    """
+    usual = usual_signs(clean)
+    states = [clean]
+    for k, pair in enumerate(pairs):
+        states.append(Counter(wide.get(k)))
+        if pair[1] not in WIDE:
+            for c, n in clean.items():
+                for x in misread(c, *pair) if c in usual or ord(c) < 128 else "":
+                    states[-1][x] += n
+    states.append(Counter({"�": 30, "锟": 25, "斤": 25, "拷": 25}))
     # Signs a state can have at all: those of its codec; the smoothing mass is spread over them.
-    room = [60_000] + [{"gb18030": 24_000, "gbk": 22_000, "big5": 14_000, "cp932": 8_000}.get(w, 256) for _, w in pairs] + [8]
+    room = [60_000] + [WIDE.get(w, 256) for _, w in pairs] + [8]
     halves = {ord(misread(chr(b), "latin-1", w)) for _, w in pairs if w in ("cp1252", "latin-1", "mac_roman", "cp1251", "koi8_r") for b in range(128, 256)}
     signs = np.array(sorted({ord(c) for s in states for c in s} | halves), np.uint32)
     at = {int(o): i for i, o in enumerate(signs)}
@@ -307,58 +351,97 @@ def repair(model: Model, texts: list[str | None]) -> list[tuple[str | None, int]
     return out
 
 
-def sign_counts(df: DataFrame, text: str, model: Model | None = None) -> Counter:
-    """How often each sign stands in all rows, or in those in which ``model`` confirms no garbled span.
+def _counted(df: DataFrame, text: str, count: Callable[[list[str], dict[int, np.ndarray]], None]) -> dict[int, Counter]:
+    """The counts of signs that ``count`` adds up over all rows, by key.
 
     Counted per task before the shuffle; the rows that come back are bounded by the signs of Unicode.
     """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total: dict[int, np.ndarray] = {}
+        for b in batches:
+            count([t for t in b.column(0).to_pylist() if t], total)
+        for k, n in total.items():
+            seen = np.flatnonzero(n)
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(seen), k), pa.int64()), pa.array(seen, pa.int64()), pa.array(n[seen], pa.int64())], names=["k", "sign", "n"])
+
+    rows = df.select(text).mapInArrow(run, StructType([StructField(c, LongType()) for c in ("k", "sign", "n")]))
+    out: dict[int, Counter] = {}
+    for k, sign, n in rows.groupBy("k", "sign").agg(F.sum("n")).collect():
+        out.setdefault(k, Counter())[chr(sign)] = n
+    return out
+
+
+def sign_counts(df: DataFrame, text: str) -> Counter:
+    """How often each sign stands in all rows."""
+
+    def count(texts: list[str], total: dict[int, np.ndarray]) -> None:
+        n = np.bincount(np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), np.uint32))
+        total.setdefault(0, np.zeros(0x110000, np.int64))[: len(n)] += n
+
+    return _counted(df, text, count).get(0, Counter())
+
+
+def pair_counts(df: DataFrame, text: str, usual: frozenset[str], pairs: list[tuple[str, str]], together: int = TOGETHER) -> dict[int, Counter]:
+    """How often each sign stands in all rows' usual signs after the wrong reading of each of the ``wide_pairs``."""
+
+    def count(texts: list[str], total: dict[int, np.ndarray]) -> None:
+        for at in range(0, len(texts), together):
+            misread_counts(texts[at : at + together], usual, pairs, total)
+
+    return _counted(df, text, count)
+
+
+def garbled_rows(df: DataFrame, text: str, model: Model) -> DataFrame:
+    """(text, spans, signs) of the rows in which ``model`` confirms a garbled span: the text, its labelled spans and their signs."""
     shared = df.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m, n = shared.value, np.zeros(0x110000, np.int64)
+        m = shared.value
         for b in batches:
             texts = [t for t in b.column(0).to_pylist() if t]
-            if m:
-                todo = m.doubtful(texts)
-                garbled = {i for i, path in zip(todo, label(m, [texts[i] for i in todo]), strict=True) if path.any() and restore(m, texts[i], path)[1]}
-                texts = [t for i, t in enumerate(texts) if i not in garbled]
-            u, k = np.unique(np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), np.uint32), return_counts=True)
-            n[u] += k
-        seen = np.flatnonzero(n)
-        yield pa.RecordBatch.from_arrays([pa.array(seen, pa.int64()), pa.array(n[seen], pa.int64())], names=["sign", "n"])
+            todo = m.doubtful(texts)
+            found = [(texts[i], len(_spans(path)), int((path > 0).sum())) for i, path in zip(todo, label(m, [texts[i] for i in todo]), strict=True) if path.any() and restore(m, texts[i], path)[1]]
+            yield pa.RecordBatch.from_arrays([pa.array([f[0] for f in found], pa.string()), *(pa.array([f[k] for f in found], pa.int64()) for k in (1, 2))], names=[text, "spans", "signs"])
 
-    rows = df.select(text).mapInArrow(run, StructType([StructField("sign", LongType()), StructField("n", LongType())]))
-    return Counter({chr(r[0]): r[1] for r in rows.groupBy("sign").agg(F.sum("n")).collect()})
+    return df.select(text).mapInArrow(run, StructType([StructField(text, StringType()), StructField("spans", LongType()), StructField("signs", LongType())]))
 
 
-def entering(model: Model, texts: list[str]) -> float:
-    """Log-probability of entering a garbled span, from the spans found in texts and what is known beforehand."""
-    todo = model.doubtful(texts)
-    spans, garbled = 0, 0
-    for i, path in zip(todo, label(model, [texts[i] for i in todo]), strict=True):
-        if path.any() and restore(model, texts[i], path)[1]:
-            spans += len(_spans(path))
-            garbled += int((path > 0).sum())
-    return float(np.log((spans + np.exp(ENTER) * PRIOR_SIGNS) / (sum(map(len, texts)) - garbled + PRIOR_SIGNS))) + LENIENT
+def entering(spans: int, clean_signs: int) -> float:
+    """Log-probability of entering a garbled span, from the spans found in so many clean signs and what is known beforehand."""
+    return float(np.log((spans + np.exp(ENTER) * PRIOR_SIGNS) / (clean_signs + PRIOR_SIGNS))) + LENIENT
 
 
-def fit_model(df: DataFrame, id: str, text: str, bound: int = SAMPLE, pairs: list[tuple[str, str]] = PAIRS) -> Model | None:
-    """Fit on the signs of all rows, and a bounded sample for the pairs and transitions; rows the first fit finds garbled are left out of the second."""
-    texts = [r[1] for r in bounded_sample(df.where(df[text] != ""), id, bound, text)]
-    if not texts:
+def fit_model(df: DataFrame, id: str, text: str, together: int = TOGETHER, pairs: list[tuple[str, str]] = PAIRS) -> Model | None:
+    """Fit every state and the entering on all rows; rows the first fit finds garbled are left out of the second.
+
+    What the rows left out held is taken off the counts, so that only they are counted again.
+    """
+    counts = sign_counts(df, text)
+    if not counts:
         return None
-    first = fit(texts, pairs, sign_counts(df, text))
-    first.enter = entering(first, texts)
-    clean = [t for t, (_, n) in zip(texts, repair(first, texts), strict=True) if not n]
-    second = fit(clean or texts, pairs, sign_counts(df, text, first) or None)
-    second.enter = first.enter
+    clean = without_lost(counts)
+    wide = pair_counts(df, text, usual_signs(clean), pairs, together)
+    first = fit_counts(clean, wide, pairs)
+    garbled = cut(garbled_rows(df, text, first))
+    spans, signs = garbled.agg(F.coalesce(F.sum("spans"), F.lit(0)), F.coalesce(F.sum("signs"), F.lit(0))).first()
+    enter = entering(spans, sum(counts.values()) - signs)
+    counts.subtract(sign_counts(garbled, text))
+    second = first
+    if left := without_lost(counts):
+        usual = usual_signs(left)
+        if usual != first.usual:
+            wide = pair_counts(df, text, usual, pairs, together)
+        out = pair_counts(garbled, text, usual, pairs, together)
+        second = fit_counts(left, {k: n - out.get(k, Counter()) for k, n in wide.items()}, pairs)
+    second.enter = enter
     return second
 
 
 def restore_encoding(df: DataFrame, id: str, text: str, model: Model | None = None, only_found: bool = False) -> DataFrame:
     """(id, text, garbled, spans) of each row: the text restored as far as its bytes allow.
 
-    Narrow: no shuffle but for the model's sample.  ``only_found`` keeps affected rows and leaves their texts out.
+    Narrow: no shuffle but for the model's counts and the few rows it first finds garbled.  ``only_found`` keeps affected rows and leaves their texts out.
     """
     model = model or fit_model(df, id, text)
     plain = StructType([df.schema[id]]) if only_found else StructType([df.schema[id], StructField(text, StringType()), StructField("garbled", BooleanType()), StructField("spans", IntegerType())])

@@ -169,6 +169,20 @@ def test_pairs_are_fitted_on_every_given_text():
     assert all(ord(c) in at for c in mojibake.misread("玲瑞继启倡函", "utf-8", "gb18030"))
 
 
+def test_pairs_and_entering_are_fitted_on_all_rows(spark):
+    rare = "经办人：玲瑞继启倡函。"
+    rows = [(i, f"{RULE}{i}") for i in range(400)] + [(1000 + i, rare) for i in range(8)] + [(2000 + i, "经办人" + mojibake.misread("玲瑞继启倡函", "utf-8", "cp1252") + "。") for i in range(5)]
+    df = spark.createDataFrame(rows, "id long, text string")
+    one, many = (mojibake.fit_model(df.repartition(n), "id", "text", k) for n, k in ((1, 1), (3, 1000)))
+    assert (one.logp == many.logp).all() and (one.signs == many.signs).all() and one.enter == many.enter
+    clean = mojibake.fit([t for i, t in rows if i < 2000])
+    assert (one.signs == clean.signs).all() and abs(one.logp - clean.logp).max() < 1e-9  # the garbled rows left the counts
+    assert one.enter == mojibake.entering(5, sum(len(t) for i, t in rows if i < 2000) + 5 * 4)
+    at = {int(o): i for i, o in enumerate(one.signs)}
+    for k, pair in enumerate(mojibake.PAIRS, 1):
+        assert all(ord(c) in at and one.logp[at[ord(c)], k] > -22 for c in mojibake.misread(rare, *pair) if ord(c) > 127 and c != "�"), pair
+
+
 # --- problem 6 ---------------------------------------------------------------------------------------------------
 
 
