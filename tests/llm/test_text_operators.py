@@ -8,7 +8,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from lawweave.llm import boilerplate, bpe, mojibake, packing, repeated_lines, residue, scan_noise, sizes, splitting, unify
+from lawweave.llm import boilerplate, bpe, mojibake, packing, queries, repeated_lines, residue, scan_noise, sizes, splitting, unify
 
 RULE = "第一条 证券公司开展场外期权业务的，应当在十五个工作日内报送交易明细，保存期限不得少于二十年。"
 WORDS = "the fund manager shall report every amendment of contract terms and monitor the risk reserve ledger".split()
@@ -131,6 +131,19 @@ def test_rule_decides_on_skewed_sources(spark):
     assert found <= {"请勿外传", "共同页脚"} and "请勿外传" in found
 
 
+def test_the_rule_runs_no_test_it_does_not_use(spark, monkeypatch):
+    rows = [(s, f"{s}{i}", f"{s}文{'x' * i}\n" + ("各处都有的一行" if i % 4 == 0 else "") + ("\n本站提示" if s == "a" and i % 3 == 0 else "")) for s in "abc" for i in range(60)] + [(None, "z", "各处都有的一行"), ("d", "d1", None)]
+    df = spark.createDataFrame(rows, "source_id string, doc_id string, text string")
+    rated = repeated_lines.repeated_lines(df, "source_id", "doc_id", "text", least_docs=4, least_share=0.1)
+    found = queries.p3_found(spark, "/root/testdata/sf0.001").collect()
+    monkeypatch.setattr(repeated_lines, "_ratio", None)
+    monkeypatch.setattr(repeated_lines, "line_statistics", None)
+    plain = repeated_lines.repeated_lines(df, "source_id", "doc_id", "text", least_docs=4, least_share=0.1, ratio=False)
+    assert sorted(map(tuple, plain.collect())) == sorted(tuple(r)[:4] for r in rated.collect()) and "g2" not in plain.columns
+    assert sorted(queries.p3_found(spark, "/root/testdata/sf0.001").collect()) == sorted(found)
+    assert queries.p3_cleaned(spark, "/root/testdata/sf0.001").count() > 0
+
+
 # --- problem 2 ---------------------------------------------------------------------------------------------------
 
 
