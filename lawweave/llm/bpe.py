@@ -55,6 +55,11 @@ class BytePairs:
         self.memory: dict[str, bytes] = {}
         self.counts: dict[str, int] = {}
         self.atoms: dict[bytes, bytes] = {}
+        self.lengths: dict[bytes, tuple[int, ...]] = {}
+        self.apart = np.zeros(1 << 16, bool)  # by two bytes side by side: whether a sign begins between them that no token reaches over
+        self.apart.reshape(256, 256)[:, 0xC0:] = True
+        self.apart[[b[0] << 8 | b[1] for b in self.inside]] = False
+        self.cuts = self.apart.tobytes()
 
     @classmethod
     def load(cls, name: str, folder: str | None = None) -> BytePairs:
@@ -119,23 +124,58 @@ class BytePairs:
             out.append(ids)
         return b"".join(out)
 
-    def piece_ids(self, piece: str) -> list[int]:
-        """Ids of one piece of the tokenizer's own split."""
-        return np.frombuffer(self.memory.get(piece) or self.piece(piece), np.int32).tolist()
+    def atom(self, atom: bytes) -> tuple[int, ...]:
+        """Bytes in each token of a stretch that no token reaches out of."""
+        known = self.lengths.get(atom)
+        if known is None:
+            known = tuple(len(self.strings[t]) for t in self.merge(atom))
+            if len(atom) <= 64:
+                if len(self.lengths) >= MEMORY:
+                    self.lengths.clear()
+                self.lengths[atom] = known
+        return known
+
+    def last_tokens(self, raw: bytes, need: int) -> list[int]:
+        """Bytes in each of the last tokens of a piece: whole stretches, until they have ``need`` tokens or the piece is at its end."""
+        out: list[int] = []
+        apart, end = self.cuts, len(raw)
+        while end and len(out) < need:
+            at = end - 1
+            while at and not apart[raw[at - 1] << 8 | raw[at]]:
+                at -= 1
+            out[:0] = self.atom(raw[at:end])
+            end = at
+        return out
+
+    def count_new(self, pieces: list[str]) -> list[int]:
+        """Tokens of each piece, all pieces taken apart in one pass."""
+        raw = [p.encode("utf-8", "replace") for p in pieces]
+        whole, ends = b"".join(raw), np.cumsum(np.fromiter(map(len, raw), np.int64, len(raw)))
+        b = np.frombuffer(whole, np.uint8).astype(np.uint16)
+        cut = np.append(self.apart[b[:-1] << 8 | b[1:]], True)
+        cut[ends - 1] = True
+        stops = np.flatnonzero(cut) + 1
+        places = stops.tolist()
+        atoms = [whole[s:e] for s, e in zip([0, *places], places)]  # noqa: B905
+        known = list(map(self.lengths.get, atoms))
+        if None in known:
+            known = [self.atom(a) if k is None else k for a, k in zip(atoms, known, strict=True)]
+        total = np.cumsum(np.fromiter(map(len, known), np.int64, len(known)))[stops.searchsorted(ends)]
+        total[1:] -= total[:-1].copy()
+        return total.tolist()
 
     def count_each(self, pieces: list[str]) -> np.ndarray:
         """Tokens of each piece of the tokenizer's own split."""
         counts = self.counts
-        try:
-            return np.fromiter(map(counts.__getitem__, pieces), np.int64, len(pieces))
-        except KeyError:
+        known = list(map(counts.get, pieces))
+        if None in known:
+            new = list({p: None for p, n in zip(pieces, known, strict=True) if n is None})
+            found = dict(zip(new, self.count_new(new), strict=True))
             if len(counts) >= 2 * MEMORY:
                 counts.clear()
-            extra = {}
-            for p in pieces:
-                if p not in counts:
-                    (counts if len(p) <= 64 else extra)[p] = len(self.piece(p)) // 4
-            return np.fromiter((counts[p] if p in counts else extra[p] for p in pieces), np.int64, len(pieces))
+            counts |= {p: n for p, n in found.items() if len(p) <= 64}
+            known = [found[p] if n is None else n for p, n in zip(pieces, known, strict=True)]
+        return np.array(known, np.int64)
 
     def count_pieces(self, pieces: list[str]) -> int:
         """Tokens of pieces of the tokenizer's own split, together."""

@@ -59,11 +59,12 @@ def token_ends(name: str, folder: str | None = None) -> Callable[[str], np.ndarr
         return np.cumsum(chars[np.array(sp.encode(t), np.int64)]) - 1  # a mark stands before the first character
 
     blocks = ["".join(map(chr, range(o, o + 64))) for o in range(32, 0xFFC0, 64) if not 0xD7C0 < o < 0xE000]
-    as_is = all(int(lengths(b)[-1]) == len(b) for b in ("a  b", *blocks))  # the model leaves every character as it is
+    if all(int(lengths(b)[-1]) == len(b) for b in ("a  b", *blocks)):  # the model leaves every character as it is
+        kept = (sp.id_to_piece(k).replace("▁", " ") for k in range(sp.get_piece_size()) if not (sp.is_byte(k) or sp.is_control(k) or sp.is_unused(k)))
+        lengths.single = frozenset(p for p in kept if len(p) == 1)
+        return lengths
 
     def ends(t: str) -> np.ndarray:
-        if as_is:
-            return lengths(t)
         return np.maximum.accumulate(np.array([p.end for p in sp.encode(t, out_type="immutable_proto").pieces], np.int64))
 
     return ends
@@ -84,6 +85,17 @@ def crossings(name: str, folder: str | None = None) -> frozenset[str] | None:
     return frozenset(p[i : i + 2] for k in range(sp.get_piece_size()) if not sp.is_byte(k) for p in [sp.id_to_piece(k)] for i in range(len(p) - 1))
 
 
+@lru_cache(maxsize=None)
+def single_signs(name: str, folder: str | None = None) -> frozenset[str]:
+    """Signs that are tokens by themselves in a sentencepiece vocabulary; none where a model may change signs, and for other tokenizers.
+
+    Every token but those of bytes stands for a sign or more, so a text of such signs has no more tokens than signs and the mark.
+    """
+    if not os.path.exists(os.path.join(tokenizer_dir(folder), f"{name}.model")):
+        return frozenset()
+    return getattr(token_ends(name, folder), "single", frozenset())
+
+
 def token_counts(df: DataFrame, id: str, text: str, tokenizers: list[str], folder: str | None = None) -> DataFrame:
     """(id, one int column per tokenizer): the size of every text; null and empty texts have size 0.  Narrow."""
 

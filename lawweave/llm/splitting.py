@@ -19,8 +19,9 @@ from __future__ import annotations
 import heapq
 import os
 import re
-from bisect import bisect_right
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -31,7 +32,7 @@ from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 from lawweave.llm.bpe import BytePairs, split_pieces, vocabulary
 from lawweave.llm.common import tokenizer_dir
 from lawweave.llm.packing import limits
-from lawweave.llm.sizes import counter, crossings, token_ends
+from lawweave.llm.sizes import counter, crossings, single_signs, token_ends
 
 #: Tokens kept free besides the overlap: its place may have to move by a part of a sign.
 SLACK = 3
@@ -117,6 +118,13 @@ class Ruler:
         self.before = np.zeros(len(ends) + 1, np.int64)
         np.cumsum(counts, out=self.before[1:])
         self.total = int(self.before[-1])
+        self.places: list[int] = []
+        self.sums: list[int] = []
+
+    def listed(self) -> Ruler:
+        """Ready for questions about single places, which lists answer faster."""
+        self.places, self.sums = self.ends.tolist(), self.before.tolist()
+        return self
 
     def upto(self, places: np.ndarray) -> np.ndarray:
         """Tokens that end at or before each place."""
@@ -124,7 +132,7 @@ class Ruler:
 
     def at(self, place: int) -> int:
         """The same for one place."""
-        return int(self.before[self.ends.searchsorted(place, "right")])
+        return self.sums[bisect_right(self.places, place)]
 
     def units(self, a: int, b: int) -> list[tuple[int, int]]:
         """(end, tokens) of the units after ``a`` up to ``b``; units that end at one place are one."""
@@ -148,8 +156,8 @@ class BpeRuler(Ruler):
         return _cut_long(self.v, self.text[end - length : end], end - length, most)
 
     def is_end(self, place: int) -> bool:
-        k = self.ends.searchsorted(place)
-        return place == 0 or (k < len(self.ends) and self.ends[k] == place)
+        k = bisect_left(self.places, place)
+        return place == 0 or (k < len(self.places) and self.places[k] == place)
 
     def size(self, start: int, end: int) -> int:
         """Tokens of ``text[start:end]`` as a text of its own (at most those it has inside the whole text)."""
@@ -161,13 +169,13 @@ class BpeRuler(Ruler):
         """(place, tokens): the latest sign's beginning with at least ``wanted`` tokens up to ``core``, and their number as a text of their own."""
         if not self.is_end(core):
             return self._search(core, wanted)
-        k = int(self.ends.searchsorted(core)) + 1
-        here = int(self.before[k])
+        places, sums = self.places, self.sums
+        here = sums[bisect_left(places, core) + 1]
         if here <= wanted:
             return 0, here
-        j = int(self.before.searchsorted(here - wanted, "right")) - 1
-        at, left, skip = int(self.ends[j - 1]) if j else 0, here - int(self.before[j]), here - wanted - int(self.before[j])
-        return (at, left) if not skip else self._inside(self.text[at : int(self.ends[j])], int(self.before[j + 1] - self.before[j]), at, left, skip)
+        j = bisect_right(sums, here - wanted) - 1
+        at, left, skip = places[j - 1] if j else 0, here - sums[j], here - wanted - sums[j]
+        return (at, left) if not skip else self._inside(self.text[at : places[j]], sums[j + 1] - sums[j], at, left, skip)
 
     def _inside(self, p: str, n: int, at: int, left: int, skip: int) -> tuple[int, int]:
         """The place after ``skip`` of the ``n`` tokens of the piece at ``at``, with ``left`` tokens from there to the core."""
@@ -178,12 +186,16 @@ class BpeRuler(Ruler):
             m = len(p)
         tail = p[-m:]
         raw = tail.encode("utf-8", "replace")
-        cut = exact = len(raw) - sum(len(v.strings[t]) for t in v.piece_ids(tail)[-need:])
+        tokens = v.last_tokens(raw, need)
+        place = cut = len(raw) - sum(tokens[-need:])
         while cut > 0 and raw[cut] & 0xC0 == 0x80:
             cut -= 1
         inside = len(p) - m + len(raw[:cut].decode("utf-8", "replace"))
-        if cut == exact and (cut == 0 or raw[cut - 1 : cut + 1] not in v.inside):  # no token reaches over this place
-            return at + inside, left - skip
+        while place > cut:
+            need += 1
+            place -= tokens[-need]
+        if place == cut and (cut == 0 or raw[cut - 1 : cut + 1] not in v.inside):  # no token reaches over this place
+            return at + inside, left - n + need
         return at + inside, left - n + v.count_pieces([p[inside:]])
 
     def _search(self, core: int, wanted: int) -> tuple[int, int]:
@@ -218,8 +230,8 @@ class TokenRuler(Ruler):
             return self.count(self.text[start:end])
         if not start:
             return self.at(end)
-        k = int(self.ends.searchsorted(start, "right"))
-        for place in self.ends[k : k + 64].tolist():
+        k = bisect_right(self.places, start)
+        for place in self.places[k : k + 64]:
             if place >= end:
                 break
             if self._apart(place):  # only what stands before this place can change by the cut
@@ -229,9 +241,9 @@ class TokenRuler(Ruler):
     def overlap(self, core: int, wanted: int) -> tuple[int, int]:
         here = self.at(core)
         j = here - wanted
-        while j > 0 and self.at(int(self.ends[j - 1])) > here - wanted:
+        while j > 0 and self.at(self.places[j - 1]) > here - wanted:
             j -= 1
-        place = int(self.ends[j - 1]) if j > 0 else 0
+        place = self.places[j - 1] if j > 0 else 0
         return place, self.count(self.text[place:core])
 
 
@@ -363,8 +375,13 @@ def split(text: str, tokenizer: str, capacity: int, overlap: int, folder: str |
     return split_all(text, tokenizer, [(capacity, overlap)], folder)[0]
 
 
+@lru_cache(maxsize=None)
+def byte_level(tokenizer: str, folder: str | None = None) -> bool:
+    return os.path.exists(os.path.join(tokenizer_dir(folder), f"{tokenizer}.tiktoken"))
+
+
 def ruler(text: str, tokenizer: str, folder: str | None = None) -> Ruler:
-    if os.path.exists(os.path.join(tokenizer_dir(folder), f"{tokenizer}.tiktoken")):
+    if byte_level(tokenizer, folder):
         return BpeRuler(vocabulary(tokenizer, folder), text)
     return TokenRuler(tokenizer, folder, text)
 
@@ -377,12 +394,15 @@ def split_all(text: str, tokenizer: str, todo: list[tuple[int, int]], folder: st
     room = [c - (o + SLACK if o else 0) - MARK for c, o in todo]
     if min(room) < 1:
         raise ValueError("the overlap leaves no room in a piece")
-    if len(text) * (1 if text.isascii() else 4) + MARK <= min(c for c, _ in todo):  # a byte has at most one token
+    least = min(c for c, _ in todo)
+    if len(text) * (1 if text.isascii() else 4) + MARK <= least:  # a byte has at most one token
+        return [[] for _ in todo]
+    if len(text) + MARK <= least and (known := single_signs(tokenizer, folder)) and len(text) + 3 * sum(map(text.count, set(text) - known)) + MARK <= least:
         return [[] for _ in todo]
     r = ruler(text, tokenizer, folder)
-    if r.total <= min(c for c, _ in todo):
+    if r.total <= least:
         return [[] for _ in todo]
-    segments = _segments(r, lines(text) if ends is None else ends, min(room))
+    segments = _segments(r.listed(), lines(text) if ends is None else ends, min(room))
     result = []
     for (capacity, overlap), most in zip(todo, room, strict=True):
         out: list[tuple[int, int, int, int]] = []

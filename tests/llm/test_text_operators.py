@@ -433,3 +433,24 @@ def test_split_documents(spark):
     assert again == RULE * 10
     assert splitting.split_documents(df.limit(0), "doc_id", "text", lim).count() == 0
     assert df.where(F.col("doc_id") < 0).count() == 0
+
+
+def test_sizes_need_no_pass_per_piece(monkeypatch):
+    """Pieces not seen before are counted together, overlaps take only a piece's last tokens, short texts are not encoded at all."""
+    r = random.Random(3)
+    texts = ["".join(r.choice("证券公司开展场外期权业务应当在日内报送ab 1é，。\n😀") for _ in range(n)) for n in (3, 400, 3000)]
+    v = bpe.BytePairs.load("byte_bpe_50k")
+    whole = [p for t in texts for p in bpe.split_pieces(t)]
+    want = [len(v.piece(p)) // 4 for p in whole]
+    assert v.count_each(whole).tolist() == want and v.count_each([]).tolist() == []
+    for p in whole:
+        exact = [len(v.strings[i]) for i in memoryview(v.piece(p)).cast("i")]
+        for need in (1, len(exact)):
+            assert v.last_tokens(p.encode(), need)[-need:] == exact[-need:]
+    monkeypatch.setattr(bpe.BytePairs, "piece", None)
+    assert bpe.BytePairs(v.ranks).count_each(whole).tolist() == want
+    known = sizes.single_signs("piece_bpe_32k")
+    short = "证券公司，" * 100
+    assert set(short) <= known and sizes.counter("piece_bpe_32k")(short) <= len(short) + splitting.MARK
+    monkeypatch.setattr(splitting, "TokenRuler", None)
+    assert splitting.split(short, "piece_bpe_32k", 1024, 0) == []
