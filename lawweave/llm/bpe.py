@@ -14,6 +14,7 @@ import base64
 import heapq
 import os
 import re
+import unicodedata
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
@@ -45,6 +46,16 @@ def split_pieces(text: str) -> list[str]:
     return piece_pattern(len(text.encode("utf-16-le", "surrogatepass")) == 2 * len(text)).findall(text)
 
 
+@lru_cache(maxsize=None)
+def sign_table() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """By code point: kind (0 other, 1 letter, 2 number, 3 white space), and the first and the last byte of its UTF-8."""
+    kind = np.fromiter(({"L": 1, "N": 2}.get(unicodedata.category(c)[0], 0) for c in map(chr, range(0x110000))), np.uint8, 0x110000)
+    kind[[o for o in range(0x3001) if re.match(f"[{SPACE}]", chr(o))]] = 3
+    o = np.arange(0x110000)
+    first = np.select([o < 0x80, o < 0x800, o < 0x10000], [o, 0xC0 | o >> 6, 0xE0 | o >> 12], 0xF0 | o >> 18)
+    return kind, first.astype(np.uint8), np.where(o < 0x80, o, 0x80 | o & 0x3F).astype(np.uint8)
+
+
 class BytePairs:
     """One byte-level vocabulary given as ranks: encodes and decodes."""
 
@@ -60,6 +71,9 @@ class BytePairs:
         self.apart.reshape(256, 256)[:, 0xC0:] = True
         self.apart[[b[0] << 8 | b[1] for b in self.inside]] = False
         self.cuts = self.apart.tobytes()
+        self.loose = np.ones(1 << 16, bool)  # the same for any sign, ASCII too
+        self.loose[[b[0] << 8 | b[1] for b in self.inside]] = False
+        self.single = np.zeros(0x110000, np.int8)  # by code point: tokens of the sign alone, 0 where not yet asked
 
     @classmethod
     def load(cls, name: str, folder: str | None = None) -> BytePairs:
@@ -177,6 +191,52 @@ class BytePairs:
             known = [found[p] if n is None else n for p, n in zip(pieces, known, strict=True)]
         return np.array(known, np.int64)
 
+    def measure(self, texts: list[str]) -> list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+        """Of each text the ends of its pieces and the tokens up to each, and the same of its stretches; from 0 tokens on.
+
+        A stretch is what no token reaches out of.  All texts are taken apart in one pass: the published split is a
+        rule on neighbouring signs, most stretches are single signs, and only the others are looked up one by one.
+        """
+        kinds, first, last = sign_table()
+        whole = "\0".join([*texts, ""])
+        marks = np.cumsum(np.fromiter((len(t) + 1 for t in texts), np.int64, len(texts))) - 1
+        codes = np.frombuffer(whole.encode("utf-32-le", "surrogatepass"), np.uint32)
+        codes = np.where(codes & 0xFFFFF800 == 0xD800, 63, codes)  # no UTF-8 has halves of surrogate pairs
+        kind = kinds[codes]
+        kind[marks] = 4
+        begins = np.ones(len(codes) + 1, bool)  # of a piece
+        begins[1:-1] = kind[1:] != kind[:-1]
+        space = kind == 3
+        ahead = np.flatnonzero(space[:-1] & ~space[1:] & (kind[1:] != 4))  # white space before a sign: its last one is by itself, or a space that goes with the sign
+        begins[ahead] = True
+        begins[ahead[codes[ahead] == 32] + 1] = False
+        for i in np.flatnonzero((codes == 39) & begins[:-1]).tolist():
+            tail = whole[i + 1 : i + 3]
+            if n := 2 if tail[:1] in {"s", "t", "m", "d"} else 3 if tail in {"re", "ve", "ll"} else 0:
+                begins[i + 1], begins[i + n] = False, True
+        begins[marks] = begins[marks + 1] = True
+        starts = begins[:-1].copy()  # of a stretch
+        starts[1:] |= self.loose[last[codes[:-1]].astype(np.uint16) << 8 | first[codes[1:]]]
+        starts = np.flatnonzero(starts)
+        stops = np.append(starts[1:], len(codes))
+        alone = stops - starts == 1
+        signs = codes[starts]
+        counts = self.single[signs].astype(np.int64)
+        if new := set(signs[alone & (counts == 0)].tolist()):
+            self.single[list(new)] = self.count_new(list(map(chr, new)))
+            counts = self.single[signs].astype(np.int64)
+        more = np.flatnonzero(~alone)
+        counts[more] = self.count_each([whole[a:b] for a, b in zip(starts[more].tolist(), stops[more].tolist(), strict=True)])
+        at_mark = starts.searchsorted(marks)
+        counts[at_mark] = 0
+        sums, ended = np.cumsum(counts), begins[stops]
+        out, lo, text = [], 0, 0
+        for hi, mark in zip(at_mark.tolist(), marks.tolist(), strict=True):
+            ends, upto, piece = stops[lo:hi] - text, sums[lo:hi] - (sums[lo - 1] if lo else 0), ended[lo:hi]
+            out.append((ends[piece], np.append(0, upto[piece]), ends, np.append(0, upto)))
+            lo, text = hi + 1, mark + 1
+        return out
+
     def count_pieces(self, pieces: list[str]) -> int:
         """Tokens of pieces of the tokenizer's own split, together."""
         return int(self.count_each(pieces).sum())

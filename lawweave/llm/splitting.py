@@ -29,13 +29,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
-from lawweave.llm.bpe import BytePairs, split_pieces, vocabulary
+from lawweave.llm.bpe import BytePairs, vocabulary
 from lawweave.llm.common import tokenizer_dir
 from lawweave.llm.packing import limits
 from lawweave.llm.sizes import counter, crossings, single_signs, token_ends
 
 #: Tokens kept free besides the overlap: its place may have to move by a part of a sign.
 SLACK = 3
+#: Signs of texts that are measured together.  No result depends on it.
+TOGETHER = 100_000
 #: Tokens kept free for the mark some tokenizers set at a text's beginning.
 MARK = 2
 _HEADS = re.compile(r"[ \t　]*(?:第[一二三四五六七八九十百零〇0-9]{1,8}[章编节条]|Chapter\s|Article\s|CHAPTER\s|附件|附录)")
@@ -113,10 +115,8 @@ class Ruler:
     question about sizes is a look-up here, so that a text is taken apart once for all limits.
     """
 
-    def __init__(self, text: str, ends: np.ndarray, counts: np.ndarray):
-        self.text, self.ends = text, ends
-        self.before = np.zeros(len(ends) + 1, np.int64)
-        np.cumsum(counts, out=self.before[1:])
+    def __init__(self, text: str, ends: np.ndarray, before: np.ndarray):
+        self.text, self.ends, self.before = text, ends, before
         self.total = int(self.before[-1])
         self.places: list[int] = []
         self.sums: list[int] = []
@@ -147,11 +147,15 @@ class Ruler:
 
 
 class BpeRuler(Ruler):
-    def __init__(self, v: BytePairs, text: str):
-        pieces = split_pieces(text)
-        super().__init__(text, np.cumsum(np.fromiter(map(len, pieces), np.int64, len(pieces))), v.count_each(pieces))
+    def __init__(self, v: BytePairs, text: str, measured: tuple[np.ndarray, ...] | None = None):
+        ends, before, self.stretch_ends, self.stretch_before = measured or v.measure([text])[0]
+        super().__init__(text, ends, before)
         self.v = v
 
+    def listed(self) -> Ruler:
+        self.stretch_places, self.stretch_sums = self.stretch_ends.tolist(), self.stretch_before.tolist()
+        return super().listed()
+
     def long_unit(self, end: int, length: int, most: int) -> list[tuple[int, int, int]]:
         return _cut_long(self.v, self.text[end - length : end], end - length, most)
 
@@ -159,44 +163,42 @@ class BpeRuler(Ruler):
         k = bisect_left(self.places, place)
         return place == 0 or (k < len(self.places) and self.places[k] == place)
 
+    def upto_stretch(self, place: int) -> int | None:
+        """Tokens up to a place inside a unit that no token reaches over, beside which the text is split alike if it is cut there."""
+        k = bisect_left(self.stretch_places, place)
+        if self.stretch_places[k] != place or "'" in self.text[max(0, place - 2) : place + 1] or self.text[place - 1].isspace():
+            return None
+        return self.stretch_sums[k + 1]
+
     def size(self, start: int, end: int) -> int:
         """Tokens of ``text[start:end]`` as a text of its own (at most those it has inside the whole text)."""
         if self.is_end(start) and self.is_end(end):
             return self.at(end) - self.at(start)
+        if (b := self.upto_stretch(end)) is not None and (a := self.at(start) if self.is_end(start) else self.upto_stretch(start)) is not None:
+            return b - a
         return len(self.v.encode_packed(self.text[start:end])) // 4
 
     def overlap(self, core: int, wanted: int) -> tuple[int, int]:
         """(place, tokens): the latest sign's beginning with at least ``wanted`` tokens up to ``core``, and their number as a text of their own."""
-        if not self.is_end(core):
+        here = self.at(core) if self.is_end(core) else self.upto_stretch(core)
+        if here is None:
             return self._search(core, wanted)
-        places, sums = self.places, self.sums
-        here = sums[bisect_left(places, core) + 1]
         if here <= wanted:
             return 0, here
-        j = bisect_right(sums, here - wanted) - 1
-        at, left, skip = places[j - 1] if j else 0, here - sums[j], here - wanted - sums[j]
-        return (at, left) if not skip else self._inside(self.text[at : places[j]], sums[j + 1] - sums[j], at, left, skip)
-
-    def _inside(self, p: str, n: int, at: int, left: int, skip: int) -> tuple[int, int]:
-        """The place after ``skip`` of the ``n`` tokens of the piece at ``at``, with ``left`` tokens from there to the core."""
-        v = self.v
-        need = n - skip  # a sign has at least one token, so the piece's last signs are enough
-        m = min(len(p), need + 2)
-        if m < len(p) and (p[-m - 1].encode("utf-8", "replace")[-1:] + p[-m].encode("utf-8", "replace")[:1]) in v.inside:
-            m = len(p)
-        tail = p[-m:]
-        raw = tail.encode("utf-8", "replace")
-        tokens = v.last_tokens(raw, need)
-        place = cut = len(raw) - sum(tokens[-need:])
-        while cut > 0 and raw[cut] & 0xC0 == 0x80:
+        places, sums = self.stretch_places, self.stretch_sums
+        k = bisect_right(sums, here - wanted) - 1
+        at = places[k - 1] if k else 0
+        if sums[k] == here - wanted:  # no token reaches over this place
+            return at, wanted
+        raw = self.text[at : places[k]].encode("utf-8", "replace")
+        need = sums[k + 1] - here + wanted
+        cut = len(raw) - sum(self.v.last_tokens(raw, need)[-need:])
+        while cut and raw[cut] & 0xC0 == 0x80:
             cut -= 1
-        inside = len(p) - m + len(raw[:cut].decode("utf-8", "replace"))
-        while place > cut:
-            need += 1
-            place -= tokens[-need]
-        if place == cut and (cut == 0 or raw[cut - 1 : cut + 1] not in v.inside):  # no token reaches over this place
-            return at + inside, left - n + need
-        return at + inside, left - n + v.count_pieces([p[inside:]])
+        if not cut:
+            return at, here - sums[k]
+        at += len(raw[:cut].decode("utf-8", "replace"))
+        return at, here - sums[k + 1] + self.v.count_pieces([self.text[at : places[k]]])
 
     def _search(self, core: int, wanted: int) -> tuple[int, int]:
         """For a core that begins inside a unit: by halving, within a reach that is widened until it is enough."""
@@ -218,7 +220,7 @@ class TokenRuler(Ruler):
 
     def __init__(self, name: str, folder: str | None, text: str):
         ends = token_ends(name, folder)(text)
-        super().__init__(text, ends, np.ones(len(ends), np.int64))
+        super().__init__(text, ends, np.arange(len(ends) + 1))
         self.count, self.crossed = counter(name, folder), crossings(name, folder)
 
     def _apart(self, place: int) -> bool:
@@ -324,12 +326,13 @@ def _merge_weak(inner: list[tuple[int, int, int]], most: int, level: int = 2) ->
 def _cut_long(v: BytePairs, piece: str, start: int, most: int) -> list[tuple[int, int, int]]:
     """A stretch without any split of the tokenizer: cut between signs that no token spans, else before any sign."""
     out, at = [], 0
-    safe = [i for i in range(1, len(piece)) if (piece[i - 1].encode()[-1:] + piece[i].encode()[:1]) not in v.inside] + [len(piece)]
+    _, _, ends, before = v.measure([piece])[0]
+    safe, sums = ends.tolist(), before.tolist()
     while at < len(piece):
         end = min(len(piece), at + most)
         k = bisect_right(safe, end) - 1
         end = safe[k] if k >= 0 and safe[k] > at else end
-        while (n := len(v.encode_packed(piece[at:end])) // 4) > most:
+        while (n := _tokens(v, piece, at, end, safe, sums)) > most:
             shorter = at + max(1, (end - at) * most // n - 1)
             k = bisect_right(safe, shorter) - 1
             end = safe[k] if k >= 0 and safe[k] > at else shorter
@@ -341,6 +344,14 @@ def _cut_long(v: BytePairs, piece: str, start: int, most: int) -> list[tuple[int
     return out
 
 
+def _tokens(v: BytePairs, piece: str, at: int, end: int, safe: list[int], sums: list[int]) -> int:
+    """Tokens of ``piece[at:end]``, added up where no token reaches over its ends."""
+    j, k = bisect_right(safe, at), bisect_right(safe, end)
+    if (at and safe[j - 1] != at) or not k or safe[k - 1] != end or "'" in piece[max(0, at - 2) : end]:
+        return len(v.encode_packed(piece[at:end])) // 4
+    return sums[k] - sums[j]
+
+
 def merge(segments: list[tuple[int, int, int]], most: int) -> list[int]:
     """Ends of the pieces: adjacent segments merged up to ``most``, weakest boundary first, smallest sum first among equals."""
     segments = gathered(segments, most)
@@ -380,29 +391,44 @@ def byte_level(tokenizer: str, folder: str | None = None) -> bool:
     return os.path.exists(os.path.join(tokenizer_dir(folder), f"{tokenizer}.tiktoken"))
 
 
-def ruler(text: str, tokenizer: str, folder: str | None = None) -> Ruler:
-    if byte_level(tokenizer, folder):
-        return BpeRuler(vocabulary(tokenizer, folder), text)
-    return TokenRuler(tokenizer, folder, text)
+def fits(text: str, tokenizer: str, least: int, folder: str | None = None) -> bool:
+    """Whether a text is within ``least`` tokens for sure, by its signs alone."""
+    if len(text) * (1 if text.isascii() else 4) + MARK <= least:  # a byte has at most one token
+        return True
+    return len(text) + MARK <= least and bool(known := single_signs(tokenizer, folder)) and len(text) + 3 * sum(map(text.count, set(text) - known)) + MARK <= least
+
+
+def rulers(texts: list[str | None], tokenizer: str, least: int, folder: str | None = None) -> Iterator[Ruler | None]:
+    """The ruler of each text, None where it ``fits``; with byte-level BPE many texts are measured in one pass."""
+    todo = [t if t and not fits(t, tokenizer, least, folder) else None for t in texts]
+    if not byte_level(tokenizer, folder):
+        yield from (t and TokenRuler(tokenizer, folder, t) for t in todo)
+        return
+    v, at = vocabulary(tokenizer, folder), 0
+    while at < len(todo):
+        end, signs = at, 0
+        while end < len(todo) and signs < TOGETHER:
+            signs += len(todo[end] or "")
+            end += 1
+        measured = iter(v.measure([t for t in todo[at:end] if t]))
+        yield from (t and BpeRuler(v, t, next(measured)) for t in todo[at:end])
+        at = end
+
 
+def split_all(text: str, tokenizer: str, todo: list[tuple[int, int]], folder: str | None = None) -> list[list[tuple[int, int, int, int]]]:
+    """``split`` for several (capacity, overlap) of one tokenizer: the text is cut into segments and counted once."""
+    return split_measured(next(rulers([text], tokenizer, min(c for c, _ in todo), folder)), todo)
 
-def split_all(text: str, tokenizer: str, todo: list[tuple[int, int]], folder: str | None = None, ends: list[tuple[int, int]] | None = None) -> list[list[tuple[int, int, int, int]]]:
-    """``split`` for several (capacity, overlap) of one tokenizer: the text is cut into segments and counted once.
 
-    ``ends``: the text's ``lines``, where the caller has them.
-    """
+def split_measured(r: Ruler | None, todo: list[tuple[int, int]], ends: list[tuple[int, int]] | None = None) -> list[list[tuple[int, int, int, int]]]:
+    """The same for a text that is measured.  ``ends``: its ``lines``, where the caller has them."""
     room = [c - (o + SLACK if o else 0) - MARK for c, o in todo]
     if min(room) < 1:
         raise ValueError("the overlap leaves no room in a piece")
     least = min(c for c, _ in todo)
-    if len(text) * (1 if text.isascii() else 4) + MARK <= least:  # a byte has at most one token
-        return [[] for _ in todo]
-    if len(text) + MARK <= least and (known := single_signs(tokenizer, folder)) and len(text) + 3 * sum(map(text.count, set(text) - known)) + MARK <= least:
-        return [[] for _ in todo]
-    r = ruler(text, tokenizer, folder)
-    if r.total <= least:
+    if r is None or r.total <= least:
         return [[] for _ in todo]
-    segments = _segments(r.listed(), lines(text) if ends is None else ends, min(room))
+    segments = _segments(r.listed(), lines(r.text) if ends is None else ends, min(room))
     result = []
     for (capacity, overlap), most in zip(todo, room, strict=True):
         out: list[tuple[int, int, int, int]] = []
@@ -440,7 +466,7 @@ def split_documents(docs: DataFrame, id: str, text: str, size_limits: DataFrame,
             ends = [lines(t) if t else [] for t in texts]
             for tokenizer in dict.fromkeys(t for _, t, _, _ in todo):
                 mine = [(limit, c, o) for limit, t, c, o in todo if t == tokenizer]
-                cut = [split_all(t, tokenizer, [x[1:] for x in mine], folder, e) if t else [[]] * len(mine) for t, e in zip(texts, ends, strict=True)]
+                cut = [split_measured(r, [x[1:] for x in mine], e) for r, e in zip(rulers(texts, tokenizer, min(c for _, c, _ in mine), folder), ends, strict=True)]
                 found |= {limit: [c[k] for c in cut] for k, (limit, _, _) in enumerate(mine)}
             for limit, *_ in todo:
                 rows = [(i, k, *p) for i, cut in enumerate(found[limit]) for k, p in enumerate(cut)]

@@ -5,6 +5,7 @@ from __future__ import annotations
 import random
 import re
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -454,3 +455,23 @@ def test_sizes_need_no_pass_per_piece(monkeypatch):
     assert set(short) <= known and sizes.counter("piece_bpe_32k")(short) <= len(short) + splitting.MARK
     monkeypatch.setattr(splitting, "TokenRuler", None)
     assert splitting.split(short, "piece_bpe_32k", 1024, 0) == []
+
+
+def test_texts_are_measured_together(monkeypatch):
+    """One pass over many texts gives each its own split and sizes; an overlap of long tokens has all the tokens asked for."""
+    r = random.Random(5)
+    signs = "ab's tremdlv12½é中国证券，。\n\t　\xa0 '’😀_-"
+    texts = ["", *("".join(r.choice(signs) for _ in range(r.randint(0, 40))) for _ in range(5000)), RULE, "x" * 3000]
+    v = bpe.BytePairs.load("byte_bpe_50k")
+    for t, (ends, before, stretches, upto) in zip(texts, v.measure(texts), strict=True):
+        pieces = bpe.split_pieces(t)
+        assert ends.tolist() == np.cumsum([len(p) for p in pieces], dtype=int).tolist()
+        assert np.diff(before).tolist() == [len(v.piece(p)) // 4 for p in pieces]
+        assert upto[-1] == before[-1] and set(ends.tolist()) <= set(stretches.tolist())
+    text = "机构（如Brünnhaus Trust）应当报送。" * 3
+    ruler = splitting.BpeRuler(v, text).listed()
+    for wanted in range(1, ruler.total):
+        place, n = ruler.overlap(len(text), wanted)
+        assert n == len(v.encode(text[place:])) and wanted <= n <= wanted + splitting.SLACK
+    monkeypatch.setattr(bpe.BytePairs, "encode_packed", None)  # no text is encoded one by one, not even inside a long unit
+    assert len(splitting.split("券商" * 2000 + RULE, "byte_bpe_50k", 512, 64)) > 5
