@@ -10,8 +10,8 @@ true one); the exact check keeps a span only if its bytes decode to signs of cle
 Nothing is fitted on a sample.  The clean state's frequencies and the signs of clean text are counted
 over all rows, and a pair's frequencies are those of all rows after the wrong reading.  Rows that the
 first fit finds garbled leave all counts of the second fit, and the spans found in them give the
-probability of entering one.  All rows are labelled and restored, whole.  A text no stretch of which could gain, in any other state, what entering that state costs has the
-all-clean path as its best path and skips the search.
+probability of entering one.  All rows are labelled and restored, whole.  Signs in no stretch that could gain, in any
+other state, what entering and leaving that state costs are clean on the best path, and the search skips them.
 
 Null texts stay null, empty ones empty; neither is ever affected.
 """
@@ -22,6 +22,7 @@ import re
 from collections import Counter
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -40,6 +41,7 @@ LENIENT = 0.6
 #: Log-probability of leaving one.  It is not fitted: ASCII is alike in all states, so the length of the spans says too
 #: little, and with a rarer leaving neighbouring spans run together over the ASCII between them.
 LEAVE = -3.0
+STAY = float(np.log1p(-np.exp(LEAVE)))
 #: Share of a restored span's signs beyond ASCII that must be usual in clean text.
 USUAL = 0.6
 #: Name of UTF-8 that was read wrongly, written again as UTF-8 and read wrongly once more.
@@ -74,21 +76,27 @@ def reread(text: str, true: str, wrong: str) -> str:
     """The inverse of ``misread``; what the bytes no longer allow comes out as substitutes."""
     if true == TWICE:
         return reread(reread(text, "utf-8", wrong), "utf-8", wrong)
-    if wrong == "cp1252":
-        b = b"".join(bytes([_FROM1252[c]]) if c in _FROM1252 else b"\xff" for c in text)
-    else:
+    return b"".join(map(_bytes_of(wrong).__getitem__, text)).decode(true, "replace")
+
+
+class _Bytes(dict):
+    """The bytes of every sign in an encoding, as they are asked for; signs it can't write are one byte that stands for none."""
+
+    def __init__(self, wrong: str):
+        self.wrong = wrong
+
+    def __missing__(self, c: str) -> bytes:
         try:
-            b = text.encode(wrong)
-        except UnicodeEncodeError:
-            b = b"".join(_one(c, wrong) for c in text)
-    return b.decode(true, "replace")
+            b = c.encode(self.wrong) if self.wrong != "cp1252" else bytes([_FROM1252[c]])
+        except (UnicodeEncodeError, KeyError):
+            b = b"\xff"
+        self[c] = b
+        return b
 
 
-def _one(c: str, wrong: str) -> bytes:
-    try:
-        return c.encode(wrong)
-    except UnicodeEncodeError:
-        return b"\xff"
+@lru_cache(maxsize=None)
+def _bytes_of(wrong: str) -> _Bytes:
+    return _Bytes(wrong)
 
 
 @dataclass
@@ -147,8 +155,8 @@ def wide_pairs(pairs: list[tuple[str, str]]) -> list[int]:
     return [k for k, (_, wrong) in enumerate(pairs) if wrong in WIDE]
 
 
-def misread_counts(texts: list[str], usual: frozenset[str], pairs: list[tuple[str, str]], total: dict[int, np.ndarray]) -> None:
-    """Adds to ``total`` how often each sign stands in the texts' usual signs and ASCII after each wide pair's wrong reading."""
+def misread_counts(texts: list[str], usual: frozenset[str], pairs: list[tuple[str, str]], total: dict[int, np.ndarray], times: int = 1) -> None:
+    """Adds to ``total``, so many ``times``, how often each sign stands in the texts' usual signs and ASCII after each wide pair's wrong reading."""
     if not texts:
         return
     keep = np.zeros(0x110000, bool)
@@ -159,7 +167,7 @@ def misread_counts(texts: list[str], usual: frozenset[str], pairs: list[tuple[st
     for k in wide_pairs(pairs):
         n = np.bincount(np.frombuffer(misread(good, *pairs[k]).encode("utf-32-le"), np.uint32))
         n[10] -= len(texts) + len(end)
-        total.setdefault(k, np.zeros(0x110000, np.int64))[: len(n)] += n
+        total.setdefault(k, np.zeros(0x110000, np.int64))[: len(n)] += times * n
 
 
 def fit(texts: list[str], pairs: list[tuple[str, str]] = PAIRS) -> Model:
@@ -215,49 +223,72 @@ def fit_counts(clean: Counter, wide: dict[int, Counter], pairs: list[tuple[str,
     return Model(signs, logp, usual, pairs)
 
 
+def _windows(model: Model, texts: list[str]) -> list[tuple[int, int, int]]:
+    """(text, start, end) of the stretches that hold every garbled span of the texts' best paths.
+
+    A span gains less than if each sign took its best state, pays for entering, staying and, but at the text's end,
+    leaving, and is worth it only if something remains.  A sign in no stretch that could gain as much is clean.
+    """
+    o = np.frombuffer("\0".join([*texts, ""]).encode("utf-32-le", "surrogatepass"), np.uint32)
+    marks = np.cumsum(np.fromiter((len(t) + 1 for t in texts), np.int64, len(texts))) - 1
+    gain = model.gain[model.row[o]] + STAY
+    gain[marks[marks > 0] - 1] -= LEAVE
+    gain[marks] = -1e5
+    total = np.cumsum(gain)
+    upto = total - np.minimum.accumulate(np.append(0.0, total[:-1]))  # the most that a stretch ending with each sign gains
+    after = np.maximum.accumulate(total[::-1])[::-1] - total  # and one after it
+    near = upto + after >= STAY - LEAVE - model.enter - 1e-3  # sums are rounded
+    near[marks] = False
+    edges = np.flatnonzero(np.diff(near, prepend=False, append=False)).reshape(-1, 2)
+    which = marks.searchsorted(edges[:, 0])
+    return list(zip(which.tolist(), *(edges - np.append(0, marks + 1)[which][:, None]).T.tolist(), strict=True)) if len(edges) else []
+
+
 def label(model: Model, texts: list[str]) -> list[np.ndarray]:
-    """The likeliest state of every sign (Viterbi), for many texts in step."""
-    stay, out = np.log1p(-np.exp(LEAVE)), [None] * len(texts)
-    order = sorted(range(len(texts)), key=lambda i: len(texts[i]))
+    """The likeliest state of every sign (Viterbi), for many stretches of texts in step; all signs beside them are clean."""
+    out = [np.zeros(len(t), np.int8) for t in texts]
+    todo = sorted(_windows(model, [t or "" for t in texts]), key=lambda x: x[2] - x[1])
     k = model.logp.shape[1]
     at = 0
-    while at < len(order):
-        longest = len(texts[order[min(at + 255, len(order) - 1)]])
-        step = max(1, min(256, 4_000_000 // max(1, longest * k)))
-        block = order[at : at + step]
-        at += step
-        n, w = len(block), max(len(texts[i]) for i in block)
-        codes = np.full((n, w), -1, np.int64)
-        for r, i in enumerate(block):
-            o = np.frombuffer(texts[i].encode("utf-32-le", "surrogatepass"), np.uint32)
-            codes[r, : len(o)] = model.row[o]
+    while at < len(todo):
+        longest = todo[min(at + 255, len(todo) - 1)]
+        block = todo[at : at + max(1, min(256, 4_000_000 // ((longest[2] - longest[1]) * k)))]
+        at += len(block)
+        sizes = np.array([b - a for _, a, b in block])
+        n, w = len(block), int(sizes[-1])
+        codes = np.zeros((n, w), np.int64)
+        for r, (i, a, b) in enumerate(block):
+            codes[r, : b - a] = model.row[np.frombuffer(texts[i][a:b].encode("utf-32-le", "surrogatepass"), np.uint32)]
+        first = sizes.searchsorted(np.arange(w), "right").tolist()  # the stretches that reach so far
         back = np.zeros((w, n, k), np.int8)  # for clean: the state before; for others: 1 = entered from clean
         v = np.full((n, k), model.enter)
         v[:, 0] = 0.0
-        v += model.logp[codes[:, 0]] if w else 0
+        v += model.logp[codes[:, 0]]
         for t in range(1, w):
-            best = v[:, 1:].argmax(1) + 1
-            leave = v[np.arange(n), best] + LEAVE
-            new = v + stay
-            new[:, 0] = v[:, 0]
-            go = leave > new[:, 0]
-            back[t, :, 0] = np.where(go, best, 0)
-            new[:, 0] = np.where(go, leave, new[:, 0])
-            come = (v[:, 0] + model.enter)[:, None]
-            back[t, :, 1:] = come > new[:, 1:]
+            lo = first[t]
+            old = v[lo:]
+            best = old[:, 1:].argmax(1) + 1
+            leave = old[np.arange(n - lo), best] + LEAVE
+            new = old + STAY
+            clean = old[:, 0]
+            go = leave > clean
+            back[t, lo:, 0] = np.where(go, best, 0)
+            new[:, 0] = np.where(go, leave, clean)
+            come = (clean + model.enter)[:, None]
+            back[t, lo:, 1:] = come > new[:, 1:]
             np.maximum(new[:, 1:], come, out=new[:, 1:])
-            c = codes[:, t]
-            v = np.where((c >= 0)[:, None], new + model.logp[c], v)
-        last = v.argmax(1)
-        for r, i in enumerate(block):
-            m = len(texts[i])
-            path = np.zeros(m, np.int8)
-            s = int(last[r]) if m else 0
-            for t in range(m - 1, -1, -1):
-                path[t] = s
-                b = int(back[t, r, s])
-                s = b if s == 0 else (0 if b else s)
-            out[i] = path
+            v[lo:] = new + model.logp[codes[lo:, t]]
+        v[[b < len(texts[i]) for i, _, b in block], 1:] += LEAVE  # a clean sign follows
+        state = v.argmax(1)
+        paths = np.zeros((n, w), np.int8)
+        for t in range(w - 1, -1, -1):
+            lo = first[t]
+            s = state[lo:]
+            paths[lo:, t] = s
+            b = back[t, np.arange(lo, n), s]
+            state[lo:] = np.where(s == 0, b, np.where(b > 0, 0, s))
+        for r, (i, a, b) in enumerate(block):
+            out[i][a:b] = paths[r, : b - a]
     return out
 
 
@@ -392,6 +423,24 @@ def pair_counts(df: DataFrame, text: str, usual: frozenset[str], pairs: list[tup
     return _counted(df, text, count)
 
 
+def pair_changes(df: DataFrame, text: str, before: frozenset[str], usual: frozenset[str], pairs: list[tuple[str, str]]) -> dict[int, Counter]:
+    """What ``pair_counts`` change by if other signs are usual than ``before``: only rows with a sign of which that differs are misread.
+
+    Such signs are about as frequent as the least usual ones, so few rows hold any.
+    """
+    differs = np.zeros(0x110000, bool)
+    differs[list(map(ord, before ^ usual))] = True
+
+    def count(texts: list[str], total: dict[int, np.ndarray]) -> None:
+        ends = np.cumsum([len(t) for t in texts])
+        hit = np.flatnonzero(differs[np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), np.uint32)])
+        mine = [texts[i] for i in np.unique(ends.searchsorted(hit, "right")).tolist()]
+        misread_counts(mine, usual, pairs, total)
+        misread_counts(mine, before, pairs, total, -1)
+
+    return _counted(df, text, count)
+
+
 def garbled_rows(df: DataFrame, text: str, model: Model) -> DataFrame:
     """(text, spans, signs) of the rows in which ``model`` confirms a garbled span: the text, its labelled spans and their signs."""
     shared = df.sparkSession.sparkContext.broadcast(model)
@@ -431,7 +480,8 @@ def fit_model(df: DataFrame, id: str, text: str, together: int = TOGETHER, pairs
     if left := without_lost(counts):
         usual = usual_signs(left)
         if usual != first.usual:
-            wide = pair_counts(df, text, usual, pairs, together)
+            for k, n in pair_changes(df, text, first.usual, usual, pairs).items():
+                wide.setdefault(k, Counter()).update(n)
         out = pair_counts(garbled, text, usual, pairs, together)
         second = fit_counts(left, {k: n - out.get(k, Counter()) for k, n in wide.items()}, pairs)
     second.enter = enter

@@ -475,3 +475,54 @@ def test_texts_are_measured_together(monkeypatch):
         assert n == len(v.encode(text[place:])) and wanted <= n <= wanted + splitting.SLACK
     monkeypatch.setattr(bpe.BytePairs, "encode_packed", None)  # no text is encoded one by one, not even inside a long unit
     assert len(splitting.split("券商" * 2000 + RULE, "byte_bpe_50k", 512, 64)) > 5
+
+
+def plain_viterbi(m, text):
+    """The likeliest states of a whole text, sign by sign."""
+    e = [m.logp[m.row[ord(c)]] for c in text]
+    stay = np.log1p(-np.exp(mojibake.LEAVE))
+    v, back = e[0] + np.append(0.0, np.full(m.logp.shape[1] - 1, m.enter)), []
+    for x in e[1:]:
+        away = int(v[1:].argmax()) + 1
+        come, leave = v[0] + m.enter > v[1:] + stay, v[away] + mojibake.LEAVE > v[0]
+        back.append([away if leave else 0, *(0 if c else k for k, c in enumerate(come, 1))])
+        v = x + np.append(v[away] + mojibake.LEAVE if leave else v[0], np.where(come, v[0] + m.enter, v[1:] + stay))
+    path = [int(v.argmax())]
+    for b in reversed(back):
+        path.append(b[path[-1]])
+    return path[::-1]
+
+
+def test_only_stretches_that_can_be_garbled_are_searched():
+    """The labels are those of a search over whole texts, wherever the spans stand; most signs of the texts are not searched."""
+    r = random.Random(7)
+    m = mojibake.fit([RULE] * 2000 + ["plain text of a rule, 2024; é ü"] * 200)
+    texts = ["", "a", "é"]
+    for _ in range(150):
+        parts = [r.choice([RULE[: r.randint(0, 40)], mojibake.misread(RULE[: r.randint(1, 6)], *r.choice(mojibake.PAIRS)), "text 12", "é", "锟斤拷", "玲"]) for _ in range(r.randint(1, 6))]
+        texts.append("".join(parts))
+    texts += [t + "。" * 3 for t in texts]
+    found = mojibake.label(m, texts)
+    assert [p.tolist() for p in found] == [plain_viterbi(m, t) if t else [] for t in texts]
+    assert sum(map(np.any, found)) > 100
+    long = [RULE * 20 + mojibake.misread(RULE[:5], "utf-8", "cp1252") + RULE * 20] * 3
+    assert 0 < sum(b - a for _, a, b in mojibake._windows(m, long)) < sum(map(len, long)) / 20
+
+
+def test_texts_are_misread_once_for_the_counts(spark, monkeypatch):
+    """Where the usual signs change, only rows with a sign that was or is no longer usual are misread again; the model is the same."""
+    rare = "经办人：玲瑞继启倡函。"
+    rows = [(i, f"{RULE}{i}") for i in range(400)] + [(1000 + i, rare) for i in range(8)] + [(2000 + i, "经办人" + mojibake.misread("玲瑞继启倡函", "utf-8", "cp1252") + "。") for i in range(5)] + [(3000, "å" + RULE)]
+    df = spark.createDataFrame(rows, "id int, text string").repartition(3)
+    asked = []
+    count = mojibake.pair_counts
+    monkeypatch.setattr(mojibake, "pair_counts", lambda df, *x: asked.append(df) or count(df, *x))
+    model = mojibake.fit_model(df, "id", "text")
+    assert len(asked) == 2 and asked[0] is df  # all rows, and those found
+    first = mojibake.usual_signs(mojibake.without_lost(mojibake.sign_counts(df, "text")))
+    assert first != model.usual
+    monkeypatch.undo()
+    left = df.join(asked[1], "text", "left_anti")
+    clean = mojibake.without_lost(mojibake.sign_counts(left, "text"))
+    want = mojibake.fit_counts(clean, mojibake.pair_counts(left, "text", mojibake.usual_signs(clean), mojibake.PAIRS))
+    assert model.usual == want.usual and np.array_equal(model.signs, want.signs) and np.array_equal(model.logp, want.logp)
